@@ -26,7 +26,7 @@ UTC_WORDS = {"z", "utc", "gmt", "ut"}
 
 _LETTERS = {c: "a" for c in range(0x41, 0x7B) if chr(c).isalpha()}
 _MASK = str.maketrans(_LETTERS | {c: "9" for c in range(0x30, 0x3A)})
-_MINUS = str.maketrans({"−": "-", "–": "-", " ": " "})
+_MINUS = str.maketrans({"\u2212": "-", "\u2013": "-", "\u00a0": " "})
 _CLOCK = r"(?P<H>99?):(?P<M>99)(?::(?P<S>99)(?:[.,](?P<f>9+))?)?"
 _ZONE = r"(?: *(?P<zw>a{1,3}))?(?: *(?P<zo>[+-]9{1,2}(?::?99)?))?$"
 #: The shapes that dates are written in, over masks.

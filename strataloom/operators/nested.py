@@ -43,7 +43,7 @@ def parse_document(text: str | None, max_wraps: int = 8):
         if not isinstance(text, str):
             return None
         try:
-            value = json.loads(text.lstrip("﻿ \t\r\n\x0b\x0c\xa0"), parse_constant=_reject)
+            value = json.loads(text.lstrip("\ufeff \t\r\n\x0b\x0c\xa0"), parse_constant=_reject)
         except (ValueError, RecursionError):
             return None
         while isinstance(value, list) and len(value) == 1:

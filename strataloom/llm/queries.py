@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strataloom.llm import bpe, generated_files, keyword_pages, packing
+from strataloom.llm import bpe, generated_files, keyword_pages, name_links, packing
 from strataloom.session import table
 
 
@@ -12,6 +12,10 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return generated_files.machine_made(table(spark, d, "repo_file"), table(spark, d, "file_hacker_commit")).select("owner_repo", "file_path").distinct()
 
 
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return name_links.same_person(table(spark, d, "dev_alias"))
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return bpe.token_ids(table(spark, d, "documents"))
 
@@ -34,6 +38,7 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "p3_found": p3_found,
+    "p7_found": p7_found,
     "p8_ids": p8_ids,
     "p8_round_trip": p8_round_trip,
     "p9_packed": p9_packed,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strataloom.llm import bpe, generated_files, keyword_pages, name_links, packing
+from strataloom.llm import bpe, clusters, generated_files, keyword_pages, name_links, packing
 from strataloom.session import table
 
 
@@ -12,6 +12,15 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return generated_files.machine_made(table(spark, d, "repo_file"), table(spark, d, "file_hacker_commit")).select("owner_repo", "file_path").distinct()
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    groups = clusters.chained_groups(clusters.count_vectors(table(spark, d, "commit_stat_log")))
+    return groups.select(groups["head_id"].alias("head_log_id"), groups["member_id"].alias("member_log_id"))
+
+
+def p4_clusters(spark: SparkSession, d: str) -> DataFrame:
+    return clusters.density_clusters(clusters.count_vectors(table(spark, d, "commit_stat_log")))
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return name_links.same_person(table(spark, d, "dev_alias"))
 
@@ -38,6 +47,8 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "p3_found": p3_found,
+    "p4_found": p4_found,
+    "p4_clusters": p4_clusters,
     "p7_found": p7_found,
     "p8_ids": p8_ids,
     "p8_round_trip": p8_round_trip,

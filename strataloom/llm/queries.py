@@ -48,7 +48,6 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     "p3_found": p3_found,
     "p4_found": p4_found,
-    "p4_clusters": p4_clusters,
     "p7_found": p7_found,
     "p8_ids": p8_ids,
     "p8_round_trip": p8_round_trip,

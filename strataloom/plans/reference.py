@@ -304,14 +304,13 @@ def job_priority_topk(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    """with r as (select distinct owner_repo as repo, file_path as commit_id from file_hacker_commit where owner_repo is not null and is_binary = 0 and contains(file_path, 'wallet')),
+    """with r as (select distinct owner_repo as repo, split_part(file_path, '/', -1) as commit_id from file_hacker_commit where owner_repo is not null and file_path is not null),
 p as (select a.repo, b.repo as other, count(*) as n from r a join r b on a.commit_id = b.commit_id and a.repo <> b.repo group by 1, 2)
 select repo, count(*) as parallel_repos, cast(sum(n) as bigint) as shared_commits from p group by 1"""
 )
 def parallel_repos(spark: SparkSession, d: str) -> DataFrame:
-    """Adapter: a path that several repositories have stands for a shared commit, over the wallet files."""
-    rows = commits(spark, d).where("is_binary = 0 and contains(file_path, 'wallet')")
-    return oltp.parallel_repos(rows.select(F.col("owner_repo").alias("repo"), F.col("file_path").alias("commit_id")))
+    """Adapter: a file name that several repositories have stands for a shared commit."""
+    return oltp.parallel_repos(commits(spark, d).select(F.col("owner_repo").alias("repo"), F.substring_index("file_path", "/", -1).alias("commit_id")))
 
 
 @query("select author, cast(floor((epoch(min(commit_date)) + epoch(max(commit_date))) / 2) as bigint) as midpoint from file_hacker_commit group by 1")
@@ -376,7 +375,7 @@ def replace_by_key_merge(spark: SparkSession, d: str) -> DataFrame:
     return oltp.replace_by_key(rows, rows.where("l_orderkey % 3 = 0").withColumn("l_quantity", F.col("l_quantity") + 1), "l_orderkey")
 
 
-@query("select items, count(*) as n_keys from (select commit_id, array_to_string(list_sort(list(distinct is_binary)), ',') as items from file_hacker_commit group by 1) group by 1")
+@query("select items, count(*) as n_keys from (select commit_id, coalesce(array_to_string(list_sort(list(distinct is_binary)), ','), '') as items from file_hacker_commit group by 1) group by 1")
 def file_set_patterns(spark: SparkSession, d: str) -> DataFrame:
     return oltp.file_set_patterns(commits(spark, d).select("commit_id", F.col("is_binary").cast("string").alias("is_binary")), "commit_id", "is_binary")
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,21 +30,40 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _ensure_checkpoint_dir(spark: SparkSession) -> None:
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is not None:
-        return
+def _shared_folder(spark: SparkSession) -> str:
+    """Folder of this application's intermediate tables: below spark.checkpoint.dir, or a temporary one in local mode.
+    It is removed when the application's JVM ends."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared and not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="strataloom-checkpoint-"))
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = _LOCAL.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="strataloom-")
+        _LOCAL[spark.sparkContext.applicationId] = shared
+    folder = f"{shared.rstrip('/')}/strataloom-{spark.sparkContext.applicationId}"
+    if folder not in _KNOWN:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _KNOWN.add(folder)
+    return folder
+
+
+_LOCAL: dict[str, str] = {}
+_KNOWN: set[str] = set()
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Cuts lineage by a reliable checkpoint in the shared folder, so that lost executors cost no recomputation
-    and what is read several times is computed once."""
-    _ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cuts lineage by a table written to the shared folder, so that lost executors cost no recomputation and what is
+    read several times is computed once.
+
+    A table and not ``checkpoint()``: that keeps the estimated size of the plan, which joins multiply round by round
+    until the number itself is too long to compute with, while a table has the size of its files, and joins with small
+    ones are planned as such. Columns need distinct names.
+    """
+    path = f"{_shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def parallelism(spark: SparkSession) -> int:

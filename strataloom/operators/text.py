@@ -52,9 +52,9 @@ def tfidf(counts: DataFrame, group: str, term: str, n: str) -> DataFrame:
     total = counts.agg(F.countDistinct(group).alias("total"))
     df = counts.groupBy(term).agg(F.countDistinct(group).alias("df"))
     weight = (1 + F.log(n)) * (F.log((1 + F.col("total")) / (1 + F.col("df"))) + 1)
-    rows = counts.join(df, term).join(F.broadcast(total), F.lit(True)).select(group, term, weight.alias("w"))
-    norm = rows.groupBy(group).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return rows.join(norm, group).select(group, term, F.round(F.col("w") / F.col("norm"), 6).alias("tfidf"))
+    rows = counts.join(df, term).join(F.broadcast(total), F.lit(True)).select(group, term, weight.alias("_weight"))
+    norm = rows.groupBy(group).agg(F.sqrt(F.sum(F.col("_weight") * F.col("_weight"))).alias("norm"))
+    return rows.join(norm, group).select(group, term, F.round(F.col("_weight") / F.col("norm"), 6).alias("tfidf"))
 
 
 def top_terms(weights: DataFrame, group: str, term: str, k: int, above: float) -> DataFrame:

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataloom.session import checkpointed
+from strataloom.session import checkpointed, spread
 
 _SCHEMA = "part string, rec_id bigint, parent binary, field string, ordinal int, child binary, payload string"
 #: Local duplicates are dropped before the shuffle through a set that is emptied beyond this size.
@@ -167,7 +167,7 @@ def merkle_tables(records: DataFrame, id_col: str, json_col: str) -> MerkleTable
     already dropped local repeats, so a subtree that a third of all records share costs one row per task.
     """
     source = records.select(F.col(id_col).cast("bigint").alias("rec_id"), F.col(json_col).cast("string").alias("doc"))
-    rows = checkpointed(source.mapInPandas(_decompose, _SCHEMA))
+    rows = checkpointed(spread(source).mapInPandas(_decompose, _SCHEMA))
     return MerkleTables(
         root=rows.where("part = 'root'").select("rec_id", F.col("child").alias("root")),
         node=rows.where("part = 'node'").groupBy("child").agg(F.first("payload").alias("payload")),

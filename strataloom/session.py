@@ -71,6 +71,13 @@ def parallelism(spark: SparkSession) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows for costly per-row work: dealt out anew if the scan has fewer partitions than there are tasks to run, so that
+    a small table of heavy rows doesn't run on a core or two. A large scan has enough splits and isn't shuffled."""
+    wanted = parallelism(df.sparkSession)
+    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(2 * wanted)
+
+
 def tokenizer_dir(path: str | None = None) -> str:
     """Folder of the public tokenizer files: the parameter, $STRATALOOM_TOKENIZERS or /opt/tokenizers."""
     return path or os.environ.get("STRATALOOM_TOKENIZERS", "/opt/tokenizers")

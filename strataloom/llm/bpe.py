@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataloom.session import tokenizer_dir
+from strataloom.session import spread, tokenizer_dir
 
 #: Fixed value: the public pattern that cuts a text into words before byte-level BPE.
 WORDS = regex.compile(r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -174,7 +174,8 @@ def token_ids(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n
     """One row per document: ``id_col`` and ``ids``, the token ids of the whole text.
 
     Null, empty texts give an empty list; blank texts have tokens like any other. Ids, null or repeated, are passed
-    through, one row for each input row; other columns are not read. No rows give no rows. Nothing is shuffled.
+    through, one row for each input row; other columns are not read. No rows give no rows. Nothing is shuffled unless the
+    scan has fewer splits than there are cores.
     """
     where = tokenizer_dir(folder)
 
@@ -189,7 +190,7 @@ def token_ids(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.ListArray.from_arrays(offsets, flat)], names=[id_col, "ids"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, F.col(text_col).cast("string").alias("text")).mapInArrow(encode, f"`{id_col}` {kind}, ids array<int>")
+    return spread(docs.select(id_col, F.col(text_col).cast("string").alias("text"))).mapInArrow(encode, f"`{id_col}` {kind}, ids array<int>")
 
 
 def texts_of(encoded: DataFrame, id_col: str = "doc_id", name: str = "byte_bpe_50k", folder: str | None = None) -> DataFrame:

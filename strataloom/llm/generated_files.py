@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataloom.session import checkpointed
+from strataloom.session import checkpointed, spread
 
 NAME_BUCKETS, TEMPLATE_BUCKETS = 1 << 18, 1 << 20
 #: Weak labels, by the way a file was committed.
@@ -155,7 +155,7 @@ def machine_made(totals: DataFrame, commits: DataFrame) -> DataFrame:
             yield pd.DataFrame({"repo": batch["repo"], "style": [naming_style(parts_of(p)[2]) for p in batch["path"]]})
 
     major = files.select("repo", "path").mapInPandas(styles, "repo string, style string").groupBy("repo", "style").count().groupBy("repo").agg(F.max_by("style", F.struct("count", "style")).alias("style"))
-    files = checkpointed(files.join(major, "repo", "left"))
+    files = spread(checkpointed(files.join(major, "repo", "left")))
     sc = files.sparkSession.sparkContext
 
     def grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

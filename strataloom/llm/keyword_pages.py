@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strataloom.session import spread
+
 #: Function words of English, German and Spanish.
 FUNCTION_WORDS = frozenset(
     """the an is are was were be been to of and in that it its for on with as at by from this these not or but if we you
@@ -168,4 +170,4 @@ def keyword_pages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             yield pd.DataFrame(out, columns=["page_id", "words", "repeat", "clause", "structure", "link"]).astype({"words": "int64"})
 
     fields = "words bigint, repeat double, clause double, structure double, link double"
-    return source.mapInPandas(judge, f"page_id {kind}, {fields}").withColumnRenamed("page_id", id_col)
+    return spread(source).mapInPandas(judge, f"page_id {kind}, {fields}").withColumnRenamed("page_id", id_col)

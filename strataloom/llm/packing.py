@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strataloom.llm.bpe import slices, tokenizer
-from strataloom.session import checkpointed, tokenizer_dir
+from strataloom.session import checkpointed, spread, tokenizer_dir
 
 #: Distinct lengths in the window of one container.
 WINDOW = 48
@@ -37,7 +37,7 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64())], names=[id_col, "n_tokens"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, F.col(text_col).cast("string").alias("text")).mapInArrow(count, f"`{id_col}` {kind}, n_tokens bigint")
+    return spread(docs.select(id_col, F.col(text_col).cast("string").alias("text"))).mapInArrow(count, f"`{id_col}` {kind}, n_tokens bigint")
 
 
 def best_fill(lengths: list[int], counts: list[int], room: int) -> tuple[list[int], int]:

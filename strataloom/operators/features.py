@@ -26,8 +26,8 @@ def type_popularity(rows: DataFrame) -> DataFrame:
 
 def main_types(rows: DataFrame, per_thousand: int) -> DataFrame:
     """Types in more than so many of a thousand commits."""
-    total = rows.agg(F.countDistinct("log_id").alias("n"))
-    return type_popularity(rows).join(F.broadcast(total), F.col("n_commits") * 1000 > F.col("n") * per_thousand).select("type", "n_commits")
+    total = rows.agg(F.countDistinct("log_id")).scalar()
+    return type_popularity(rows).where(F.col("n_commits") * 1000 > total * per_thousand).select("type", "n_commits")
 
 
 def type_matrix(rows: DataFrame, types: list[str]) -> DataFrame:
@@ -45,9 +45,9 @@ def type_correlations(matrix: DataFrame, types: list[str], above: float) -> Data
 
 def histogram(rows: DataFrame, value: str, bins: int) -> DataFrame:
     """Counts in ``bins`` equal bins between the least and the greatest value; the last bin is closed."""
-    ends = rows.agg(F.min(value).alias("low"), F.max(value).alias("high"))
-    at = F.when(F.col("high") == F.col("low"), F.lit(0)).otherwise(F.least(F.floor((F.col(value) - F.col("low")) * bins / (F.col("high") - F.col("low"))), F.lit(bins - 1)))
-    return rows.where(F.col(value).isNotNull()).join(F.broadcast(ends), F.lit(True)).groupBy(at.cast("int").alias("bin")).agg(F.count("*").alias("n"))
+    low, high = rows.agg(F.min(value)).scalar(), rows.agg(F.max(value)).scalar()
+    at = F.when(high == low, F.lit(0)).otherwise(F.least(F.floor((F.col(value) - low) * bins / (high - low)), F.lit(bins - 1)))
+    return rows.where(F.col(value).isNotNull()).select(at.cast("int").alias("bin")).groupBy("bin").agg(F.count("*").alias("n"))
 
 
 def commit_features(rows: DataFrame, actions: dict[str, list[str]]) -> DataFrame:

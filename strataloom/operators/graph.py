@@ -58,7 +58,7 @@ def density(edges: DataFrame) -> DataFrame:
 def degree_centrality(edges: DataFrame) -> DataFrame:
     """Degree over the number of other nodes."""
     own = degrees(edges)
-    return own.join(F.broadcast(own.agg(F.count("*").alias("n"))), F.lit(True)).select("node", F.round(F.col("degree") / (F.col("n") - 1), 6).alias("centrality"))
+    return own.select("node", F.round(F.col("degree") / (own.agg(F.count("*")).scalar() - 1), 6).alias("centrality"))
 
 
 def assortativity(edges: DataFrame) -> DataFrame:

@@ -68,5 +68,5 @@ def heavy_values(totals: DataFrame, key: str, share: float = 0.04) -> DataFrame:
 
     The total is a sum over the per-key rows; at most 1/share rows come out.
     """
-    total = totals.agg(F.sum("n_rows").alias("total"))
-    return totals.where(F.col(key).isNotNull()).join(F.broadcast(total), F.col("n_rows") >= F.col("total") * share).select(F.col(key).cast("string").alias("key_value"))
+    total = totals.agg(F.sum("n_rows")).scalar()
+    return totals.where(F.col(key).isNotNull() & (F.col("n_rows") >= total * share)).select(F.col(key).cast("string").alias("key_value"))

@@ -49,10 +49,10 @@ def word_counts(docs: DataFrame, group: str, text_col: str = "text") -> DataFram
 
 def tfidf(counts: DataFrame, group: str, term: str, n: str) -> DataFrame:
     """Weights (1 + ln tf) * (ln((1 + N) / (1 + df)) + 1), scaled to length 1 per group."""
-    total = counts.agg(F.countDistinct(group).alias("total"))
+    total = counts.agg(F.countDistinct(group)).scalar()
     df = counts.groupBy(term).agg(F.countDistinct(group).alias("df"))
-    weight = (1 + F.log(n)) * (F.log((1 + F.col("total")) / (1 + F.col("df"))) + 1)
-    rows = counts.join(df, term).join(F.broadcast(total), F.lit(True)).select(group, term, weight.alias("_weight"))
+    weight = (1 + F.log(n)) * (F.log((1 + total) / (1 + F.col("df"))) + 1)
+    rows = counts.join(df, term).select(group, term, weight.alias("_weight"))
     norm = rows.groupBy(group).agg(F.sqrt(F.sum(F.col("_weight") * F.col("_weight"))).alias("norm"))
     return rows.join(norm, group).select(group, term, F.round(F.col("_weight") / F.col("norm"), 6).alias("tfidf"))
 

@@ -120,3 +120,17 @@ def listing(lines: DataFrame, column: str = "value") -> DataFrame:
 def repaired_json(text, schema: str):
     """JSON by schema, tried once more with a closing bracket if it was cut off."""
     return F.coalesce(F.from_json(text, schema, {"mode": "PERMISSIVE"}), F.from_json(F.concat(text, F.lit("]")), schema))
+
+
+def parse_stat_line(line: str) -> tuple[str, int, int, int] | None:
+    """(path, inserts, deletes, bytes) of a ``git log --stat`` line; the changed lines are divided by the signs shown.
+
+    ``path | 12 ++--`` has lines, ``path | Bin 10 -> 20 bytes`` the new size; other lines are None.
+    """
+    if m := re.match(r"\s(.+?)\s+\|\s+Bin(?: (\d+) -> (\d+) bytes)?\s*$", line):
+        return m.group(1), 0, 0, int(m.group(3) or 0)
+    if m := re.match(r"\s(.+?)\s+\|\s+(\d+)\s*(\+*)(-*)\s*$", line):
+        changed, plus, minus = int(m.group(2)), len(m.group(3)), len(m.group(4))
+        inserts = round(changed * plus / (plus + minus)) if plus + minus else 0
+        return m.group(1), inserts, changed - inserts if plus + minus else 0, 0
+    return None

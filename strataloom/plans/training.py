@@ -75,6 +75,23 @@ def p5_totals(spark: SparkSession, d: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts).select("table_name", "key_value", "n_rows", "n_total_inserts", "sum_total_inserts", "n_total_deletes", "sum_total_deletes")
 
 
+def p5_totals_all(spark: SparkSession, d: str) -> DataFrame:
+    """``p5_totals`` over every key of HEAVY; a table without summed columns has null there."""
+    parts = []
+    for name, key, order, values in HEAVY:
+        totals = heavy_keys.stitched_totals(table(spark, d, name), key, order, values)
+        sums = [F.col(c) if c in totals.columns else F.lit(None).cast("bigint").alias(c) for v in ("total_inserts", "total_deletes") for c in (f"n_{v}", f"sum_{v}")]
+        parts.append(totals.select(F.lit(name).alias("table_name"), F.lit(key).alias("key_field"), F.col(key).cast("string").alias("key_value"), "n_rows", *sums))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def p5_running_all(spark: SparkSession, d: str) -> DataFrame:
+    """``p5_running`` over every row of git_commit, repeated ones too."""
+    rows = table(spark, d, "git_commit").select("alias_id", "id", "commit_id", "loaded_at").withColumn("one", F.lit(1).cast("bigint"))
+    out = heavy_keys.stitched_running(rows, "alias_id", ["id", "commit_id", "loaded_at"], "one")
+    return out.groupBy("alias_id").agg(F.max("seq_no").alias("last_seq"), F.sum("running_sum").alias("sum_running"))
+
+
 def p5_running(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "git_commit").select("alias_id", "id", "commit_id", "loaded_at").distinct().withColumn("one", F.lit(1).cast("bigint"))
     out = heavy_keys.stitched_running(rows, "alias_id", ["id", "commit_id", "loaded_at"], "one")
@@ -89,6 +106,13 @@ P5_TOTALS_SQL = "\nunion all\n".join(
     for t, k, _, v in HEAVY
     if v
 )
+P5_TOTALS_ALL_SQL = "\nunion all\n".join(
+    f"select '{t}' as table_name, '{k}' as key_field, cast({k} as varchar) as key_value, count(*) as n_rows, "
+    + ", ".join(f"count({c}) as n_{c}, cast(sum({c}) as bigint) as sum_{c}" if v else f"cast(null as bigint) as n_{c}, cast(null as bigint) as sum_{c}" for c in ("total_inserts", "total_deletes"))
+    + f" from {t} group by {k}"
+    for t, k, _, v in HEAVY
+)
+P5_RUNNING_ALL_SQL = "select alias_id, count(*) as last_seq, cast(count(*) * (count(*) + 1) / 2 as bigint) as sum_running from git_commit group by alias_id"
 P5_RUNNING_SQL = """select alias_id, count(*) as last_seq, cast(count(*) * (count(*) + 1) / 2 as bigint) as sum_running
 from (select distinct alias_id, id, commit_id, loaded_at from git_commit) group by alias_id"""
 
@@ -105,6 +129,8 @@ QUERIES = {
     "p5_found": p5_found,
     "p5_totals": p5_totals,
     "p5_running": p5_running,
+    "p5_totals_all": p5_totals_all,
+    "p5_running_all": p5_running_all,
     "p6_found": p6_found,
 }
 ORACLES = {
@@ -113,4 +139,6 @@ ORACLES = {
     "p5_found": P5_FOUND_SQL,
     "p5_totals": P5_TOTALS_SQL,
     "p5_running": P5_RUNNING_SQL,
+    "p5_totals_all": P5_TOTALS_ALL_SQL,
+    "p5_running_all": P5_RUNNING_ALL_SQL,
 }

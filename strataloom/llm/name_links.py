@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -36,7 +37,11 @@ NICKNAMES = {
 #: Words that show an account to be no person's.
 NO_PERSON = frozenset("bot release noreply mirror admin root user ubuntu team ci build builder jenkins system daemon service automation robot deploy github gitlab dependabot unknown nobody anonymous localhost test your".split())
 TITLES = frozenset("dr mr mrs ms prof dipl ing sir".split())
+#: Family names with fewer letters are linked by equal spelling alone, and read from a handle only if the address tells both names.
 LEAST_FAMILY = 4
+#: Scripts with case or accents to fold, and scripts whose names are written without spaces and in single letters.
+FOLDED, UNSPACED = ("LATIN", "GREEK", "CYRILLIC"), ("CJK", "HANGUL", "HIRAGANA", "KATAKANA")
+_LETTERS = re.compile(r"[^\W\d_]+")
 
 
 def fold(text: str) -> str:
@@ -51,7 +56,38 @@ def fold(text: str) -> str:
             except UnicodeError:
                 continue
     text = unicodedata.normalize("NFKD", text.replace("ß", "ss").replace("ø", "o").replace("ł", "l"))
-    return "".join(c for c in text if not unicodedata.combining(c)).lower()
+    if text.isascii():
+        return text.lower()
+    out, plain = [], True
+    for c in text:
+        if not unicodedata.combining(c):
+            plain = c.isascii() or _script(c) in FOLDED
+        elif plain:
+            continue
+        out.append(c)
+    # marks that tell letters apart, as in kana, are put back
+    return unicodedata.normalize("NFC", "".join(out)).lower()
+
+
+@lru_cache(100_000)
+def _script(c: str) -> str:
+    return unicodedata.name(c, "").partition(" ")[0]
+
+
+def _unspaced(token: str) -> bool:
+    return _script(token[0]) in UNSPACED
+
+
+def _initial(token: str) -> bool:
+    """Whether a token is an initial; a single letter of an unspaced script is a name."""
+    return len(token) == 1 and not _unspaced(token)
+
+
+def _tokens(folded: str) -> list[str]:
+    """Runs of letters, digits and the marks that belong to them, of any script."""
+    if folded.isascii():
+        return re.findall(r"[a-z0-9]+", folded)
+    return "".join(c if c.isalnum() or unicodedata.category(c)[0] == "M" else " " for c in folded).split()
 
 
 def split_alias(alias: str | None) -> tuple[str, str]:
@@ -70,7 +106,12 @@ def name_tokens(display: str) -> list[str]:
     if "," in folded:
         family, _, rest = folded.partition(",")
         folded = f"{rest} {family}"
-    return [t for t in re.findall(r"[a-z0-9]+", folded.replace("'", "")) if t not in TITLES]
+    tokens = [t for t in _tokens(folded.replace("'", "")) if t not in TITLES]
+    if len(tokens) == 1 and _script(tokens[0][0]) in ("CJK", "HANGUL") and len(tokens[0]) > 1:
+        # unspaced: the family name comes first, of one letter in names of up to three
+        cut = 1 if len(tokens[0]) <= 3 else 2
+        tokens = [tokens[0][cut:], tokens[0][:cut]]
+    return tokens
 
 
 def _edit_one(a: str, b: str) -> bool:
@@ -125,12 +166,19 @@ def parse_person(alias: str | None, given: Given) -> tuple[str, str, str] | None
         return None
     local, _, domain = address.partition("@")
     local = re.sub(r"^\d+\+", "", fold(local))
-    pieces = [p for p in re.split(r"[^a-z]+", re.sub(r"\d+$", "", local)) if p]
+    pieces = _LETTERS.findall(re.sub(r"\d+$", "", local))
+    mentioned = _family_in(pieces, given)
     if len(tokens) == 1:
         token = re.sub(r"\d+", "", tokens[0])
-        if len(token) < LEAST_FAMILY + 1:
+        apart = [(given.full(a) or a, b) for a, b in (pieces, pieces[::-1])] if len(pieces) == 2 else []
+        if (told := next((x for x in mentioned + apart if len(x[0]) > 1 and len(x[1]) < LEAST_FAMILY and token in _handles(*x)), None)) is not None:
+            first, family = told
+        elif token and _unspaced(token):
+            # not to be cut into two names: linked by equal spelling
+            first, family = token, token
+        elif len(token) < LEAST_FAMILY + 1:
             return None
-        if (cut := given.prefix(token)) is not None:
+        elif (cut := given.prefix(token)) is not None:
             first, family = cut
         elif given.full(token) is not None:
             return None
@@ -138,8 +186,8 @@ def parse_person(alias: str | None, given: Given) -> tuple[str, str, str] | None
             first, family = token[0], token[1:]
     else:
         tokens = [t for t in tokens if not t.isdigit()] or tokens
-        words = [t for t in tokens if len(t) > 1]
-        initials = [t for t in tokens if len(t) == 1]
+        words = [t for t in tokens if not _initial(t)]
+        initials = [t for t in tokens if _initial(t)]
         if not words:
             return None
         firsts = [t for t in words if given.full(t) is not None]
@@ -156,13 +204,10 @@ def parse_person(alias: str | None, given: Given) -> tuple[str, str, str] | None
             else:
                 return None
         family = "".join(rest)
-    if len(family) < LEAST_FAMILY:
-        return None
-    mentioned = _family_in(pieces, given)
-    if len(first) == 1:
+    if _initial(first):
         initial, full = first, ""
         for guess, name in mentioned:
-            if len(guess) > 1 and (name == family or _edit_one(name, family)) and initial in (guess[0], *(k[0] for k, v in NICKNAMES.items() if v == guess)):
+            if len(guess) > 1 and (name == family or _slip(name, family)) and initial in (guess[0], *(k[0] for k, v in NICKNAMES.items() if v == guess)):
                 full = guess
         if not full and len(pieces) == 1 and given.full(pieces[0]) and pieces[0] in given.known and given.full(pieces[0])[0] == initial:
             full = given.full(pieces[0])
@@ -170,10 +215,20 @@ def parse_person(alias: str | None, given: Given) -> tuple[str, str, str] | None
         full = given.full(first) or first
         initial = full[0]
     if all(name != family for _, name in mentioned):
-        family = next((name for guess, name in mentioned if _edit_one(name, family) and (not guess or guess in (full, initial, *(k[0] for k, v in NICKNAMES.items() if v == full)))), family)
+        family = next((name for guess, name in mentioned if _slip(name, family) and (not guess or guess in (full, initial, *(k[0] for k, v in NICKNAMES.items() if v == full)))), family)
     return full, initial, family
 
 
+def _slip(a: str, b: str) -> bool:
+    """Whether two family names are a typing slip apart; short ones never are."""
+    return min(len(a), len(b)) >= LEAST_FAMILY and _edit_one(a, b)
+
+
+def _handles(given: str, family: str) -> tuple[str, ...]:
+    firsts = [given, given[0], *(x for k, v in NICKNAMES.items() if v == given for x in (k, k[0]))]
+    return tuple(x for f in firsts for x in (f + family, family + f))
+
+
 def _family_in(pieces: list[str], given: Given) -> list[tuple[str, str]]:
     """Readings of the local part of an address as (given name, its initial or '', family name)."""
     out = []
@@ -187,13 +242,14 @@ def _family_in(pieces: list[str], given: Given) -> list[tuple[str, str]]:
         if (cut := given.prefix(pieces[0])) is not None:
             out.append(cut)
         out += [(pieces[0][0], pieces[0][1:]), ("", pieces[0])]
-    return [(g, f) for g, f in out if len(f) >= LEAST_FAMILY]
+    # of short names only those written apart
+    return [(g, f) for g, f in out if len(f) >= (2 if len(pieces) >= 2 else LEAST_FAMILY)]
 
 
 def confirms(alias: str | None, family: str) -> bool:
     """Whether the address of an alias spells its family name."""
     local = split_alias(alias)[1].partition("@")[0]
-    return family in re.sub(r"[^a-z]", "", fold(local))
+    return family in "".join(_LETTERS.findall(fold(local)))
 
 
 def trie_neighbours(names: list[str]) -> list[tuple[str, str]]:
@@ -261,7 +317,9 @@ def persons(aliases: DataFrame, id_col: str = "id", name_col: str = "name", leas
     Aliases that name no person, null and empty names, names of one given name and null ids give no rows. A family name
     that its own addresses spell is taken as typed; one that isn't joins the commonest such name one slip away. A name
     with an initial alone joins the one person of that initial and family name, if there is just one; else it is a person
-    of its own under the initial. Repeated rows count once; an id with two names has both. Extra columns aren't read.
+    of its own under the initial. Names are words of any script; family names of less than ``LEAST_FAMILY`` letters are
+    compared by equal spelling only. A Chinese or Korean name without a space is cut after its family name of one letter
+    (two in names of four letters or more), another unspaced one is compared as a whole. Repeated rows count once; an id with two names has both. Extra columns aren't read.
 
     Tokens with at least ``least_share`` of the names are taken as given names too; there are at most a few thousand.
     """
@@ -271,7 +329,7 @@ def persons(aliases: DataFrame, id_col: str = "id", name_col: str = "name", leas
 
     def tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"token": [t for a in batch["alias"] for t in dict.fromkeys(name_tokens(split_alias(a)[0])) if len(t) > 2 and t.isalpha()]}, dtype=object)
+            yield pd.DataFrame({"token": [t for a in batch["alias"] for t in dict.fromkeys(name_tokens(split_alias(a)[0])) if len(t) > 2 and t.isalpha() and not _unspaced(t)]}, dtype=object)
 
     total = rows.count()
     frequent = rows.select("alias").mapInPandas(tokens, "token string").groupBy("token").count().where(F.col("count") >= max(least_count, total * least_share))
@@ -288,7 +346,7 @@ def persons(aliases: DataFrame, id_col: str = "id", name_col: str = "name", leas
 
     parsed = checkpointed(rows.mapInPandas(parse, "alias_id bigint, given string, initial string, family string, confirmed boolean, address string"))
     full = parsed.where("given <> ''").groupBy("given", "family").agg(F.max("confirmed").alias("sure"), F.count("*").alias("n"))
-    pairs = trie_join(full.select("given", "family"))
+    pairs = trie_join(full.select("given", "family").where(F.length("family") >= LEAST_FAMILY))
     both = pairs.unionByName(pairs.select("given", F.col("right_family").alias("left_family"), F.col("left_family").alias("right_family")))
     here = full.select("given", F.col("family").alias("left_family"), F.col("sure").alias("l_sure"), F.col("n").alias("l_n"))
     there = full.select("given", F.col("family").alias("right_family"), F.col("sure").alias("r_sure"), F.col("n").alias("r_n"))

@@ -5,6 +5,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
+from strataloom.llm.name_links import fold, name_tokens, same_person
 from strataloom.plans import training
 
 DATA = "/root/testdata/sf0.001"
@@ -30,3 +31,23 @@ def test_heavy_key_queries_have_every_row(spark, name):
     assert got == spark.read.parquet(f"{DATA}/git_commit.parquet").count()
     if name == "p5_totals_all":
         assert {r["table_name"] for r in rows} == {t for t, *_ in training.HEAVY}
+
+
+def linked(spark, names):
+    return {tuple(r) for r in same_person(spark.createDataFrame(list(enumerate(names)), "id long, name string")).collect()}
+
+
+def test_short_and_non_latin_names_are_linked(spark):
+    groups = [
+        ["John Lee <a@x.test>", "Lee, John <b@x.test>", "J. Lee <c@x.test>", "jlee <john.lee@x.test>"],
+        ["Robert Wu <d@x.test>", "Wu, Bob <e@x.test>"],
+        ["Иван Петров <f@x.test>", "Петров, Иван <g@x.test>", "ИВАН ПЕТРОВ <h@x.test>"],
+        ["Γιώργος Παππάς <i@x.test>", "Παππας, Γιωργος <j@x.test>"],
+        ["王伟 <k@x.test>", "王伟 <l@x.test>"],
+        ["がとう <m@x.test>", "がとう <n@x.test>"],
+    ]
+    alone = ["John Lea <o@x.test>", "Robert Wi <p@x.test>", "Иван Сидоров <q@x.test>", "王芳 <r@x.test>", "かとう <s@x.test>", "lee <t@x.test>", "abc <u@x.test>"]
+    names = [n for g in groups for n in g] + alone
+    want = {(names.index(g[0]) + i, names.index(g[0]) + j) for g in groups for j in range(len(g)) for i in range(j)}
+    assert linked(spark, names) == want
+    assert name_tokens("हिन्दी नाम") == ["हिन्दी", "नाम"] and fold("Й") == "и"

@@ -3,8 +3,8 @@
 A name is folded (encoding slips undone, accents and case dropped), stripped of titles and remarks, and split into a
 given part and a family part whatever their order. Equal families are one key; families that differ by a typing slip are
 found by a trie join: the family names of each given name are sharded by their first and by their last letters, each
-shard is a trie, and every name walks it as a Levenshtein automaton of distance 1. The order of tokens is settled by the
-given names that the whole table knows, so permutations meet under one key.
+shard is a trie, and every name walks it as a Levenshtein automaton of distance 1. The order of tokens is guessed by the
+given names that the whole table knows; names that meet in the sorted set of their tokens then get one order.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strataloom.llm.clusters import boruvka
 from strataloom.session import checkpointed, parallelism
 
 #: Short forms of given names.
@@ -246,10 +247,34 @@ def _family_in(pieces: list[str], given: Given) -> list[tuple[str, str]]:
     return [(g, f) for g, f in out if len(f) >= (2 if len(pieces) >= 2 else LEAST_FAMILY)]
 
 
-def confirms(alias: str | None, family: str) -> bool:
-    """Whether the address of an alias spells its family name."""
-    local = split_alias(alias)[1].partition("@")[0]
-    return family in "".join(_LETTERS.findall(fold(local)))
+def address_letters(alias: str | None) -> str:
+    """Letters of an address before its @; they confirm the family name that they spell."""
+    return "".join(_LETTERS.findall(fold(split_alias(alias)[1].partition("@")[0])))
+
+
+def token_set(alias: str | None) -> str:
+    """Words of a display name in alphabetical order, short forms in full, initials left out; '' of less than two."""
+    words = {NICKNAMES.get(t, t) for t in name_tokens(split_alias(alias)[0]) if not _initial(t) and not t.isdigit()}
+    return " ".join(sorted(words)) if len(words) > 1 else ""
+
+
+def one_order(parsed: DataFrame) -> DataFrame:
+    """``parsed`` with one (given, family) for all names whose words are permutations of each other: the one
+    whose family name most aliases have. Only names read with different given names are turned; those read alike keep their family names."""
+    families = parsed.groupBy("family").agg(F.count("*").alias("n"))
+    keys = parsed.where("given <> '' and tokens <> ''").select("tokens", "given", "family").distinct().join(families, "family")
+    best = keys.groupBy("tokens").agg(F.max_by(F.struct("given", "family"), F.struct("n", "given", "family")).alias("best"), F.min("given").alias("low"), F.max("given").alias("high")).where("low <> high")
+    ends = keys.join(best, "tokens").where("given <> best.given").select(F.concat_ws(" ", "given", "family").alias("a"), F.concat_ws(" ", "best.given", "best.family").alias("b"))
+    edges = checkpointed(ends.select(F.least("a", "b").alias("left"), F.greatest("a", "b").alias("right"), F.lit(0.0).alias("weight")))
+    if edges.isEmpty():
+        return parsed
+    _, labels = boruvka(edges)
+    nodes = parsed.where("given <> ''").select("given", "family").distinct().join(families, "family").join(labels, F.concat_ws(" ", "given", "family") == F.col("node"))
+    to = nodes.groupBy("root").agg(F.max_by(F.struct("given", "family"), F.struct("n", "given", "family")).alias("to"))
+    turned = nodes.join(to, "root").select("given", "family", "to")
+    names = [F.coalesce(f"to.{c}", c).alias(c) for c in ("given", "family")]
+    rows = parsed.join(turned, ["given", "family"], "left").select("alias_id", *names, F.when(F.col("to").isNull(), F.col("initial")).otherwise(F.substring("to.given", 1, 1)).alias("initial"), "letters", "tokens")
+    return checkpointed(rows)
 
 
 def trie_neighbours(names: list[str]) -> list[tuple[str, str]]:
@@ -321,7 +346,9 @@ def persons(aliases: DataFrame, id_col: str = "id", name_col: str = "name", leas
     compared by equal spelling only. A Chinese or Korean name without a space is cut after its family name of one letter
     (two in names of four letters or more), another unspaced one is compared as a whole. Repeated rows count once; an id with two names has both. Extra columns aren't read.
 
-    Tokens with at least ``least_share`` of the names are taken as given names too; there are at most a few thousand.
+    Tokens with at least ``least_share`` of the names that aren't mostly the last word are taken as given names too; there
+    are at most a few thousand. They cut handles and choose an order; names of the same words are one person's in any
+    order, however rare. A name in the other order that also has a slip meets only if its given name is known.
     """
     rows = aliases.select(F.col(id_col).cast("bigint").alias("alias_id"), F.col(name_col).cast("string").alias("alias")).where("alias_id is not null and alias is not null").distinct()
     rows = rows.repartition(2 * parallelism(aliases.sparkSession))
@@ -329,10 +356,14 @@ def persons(aliases: DataFrame, id_col: str = "id", name_col: str = "name", leas
 
     def tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"token": [t for a in batch["alias"] for t in dict.fromkeys(name_tokens(split_alias(a)[0])) if len(t) > 2 and t.isalpha() and not _unspaced(t)]}, dtype=object)
+            out = []
+            for alias in batch["alias"]:
+                words = name_tokens(split_alias(alias)[0])
+                out += [(t, int(len(words) > 1 and t == words[-1])) for t in dict.fromkeys(words) if len(t) > 2 and t.isalpha() and not _unspaced(t)]
+            yield pd.DataFrame(out, columns=["token", "last"])
 
     total = rows.count()
-    frequent = rows.select("alias").mapInPandas(tokens, "token string").groupBy("token").count().where(F.col("count") >= max(least_count, total * least_share))
+    frequent = rows.select("alias").mapInPandas(tokens, "token string, last int").groupBy("token").agg(F.count("*").alias("n"), F.sum("last").alias("last")).where((F.col("n") >= max(least_count, total * least_share)) & (F.col("last") * 2 <= F.col("n")))
     known = spark.sparkContext.broadcast({r["token"] for r in frequent.collect()} - NO_PERSON)
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -341,11 +372,11 @@ def persons(aliases: DataFrame, id_col: str = "id", name_col: str = "name", leas
             out = []
             for alias_id, alias in zip(batch["alias_id"], batch["alias"]):
                 if (person := parse_person(alias, given)) is not None:
-                    out.append((alias_id, *person, confirms(alias, person[2]), split_alias(alias)[1]))
-            yield pd.DataFrame(out, columns=["alias_id", "given", "initial", "family", "confirmed", "address"])
+                    out.append((alias_id, *person, address_letters(alias), token_set(alias)))
+            yield pd.DataFrame(out, columns=["alias_id", "given", "initial", "family", "letters", "tokens"])
 
-    parsed = checkpointed(rows.mapInPandas(parse, "alias_id bigint, given string, initial string, family string, confirmed boolean, address string"))
-    full = parsed.where("given <> ''").groupBy("given", "family").agg(F.max("confirmed").alias("sure"), F.count("*").alias("n"))
+    parsed = one_order(checkpointed(rows.mapInPandas(parse, "alias_id bigint, given string, initial string, family string, letters string, tokens string")))
+    full = parsed.where("given <> ''").groupBy("given", "family").agg(F.max(F.expr("contains(letters, family)")).alias("sure"), F.count("*").alias("n"))
     pairs = trie_join(full.select("given", "family").where(F.length("family") >= LEAST_FAMILY))
     both = pairs.unionByName(pairs.select("given", F.col("right_family").alias("left_family"), F.col("left_family").alias("right_family")))
     here = full.select("given", F.col("family").alias("left_family"), F.col("sure").alias("l_sure"), F.col("n").alias("l_n"))

@@ -51,3 +51,11 @@ def test_short_and_non_latin_names_are_linked(spark):
     want = {(names.index(g[0]) + i, names.index(g[0]) + j) for g in groups for j in range(len(g)) for i in range(j)}
     assert linked(spark, names) == want
     assert name_tokens("हिन्दी नाम") == ["हिन्दी", "नाम"] and fold("Й") == "и"
+
+
+def test_word_orders_meet_whatever_is_known(spark):
+    pairs = [["Xaver Huber <a@x.test>", "Huber Xaver <b@x.test>"], ["Mary Ann Orbegozo <c@x.test>", "Orbegozo Mary Ann <d@x.test>"], ["Quentin Smithe <e@x.test>", "Smithe Quentin <f@x.test>", "Smithe, Q. <g@x.test>"]]
+    # a family name beyond the share from which tokens are taken as given names
+    hot = [f"{a}{b}zor Smithe <h@x.test>" for a in ("Ka", "Bo", "Tu", "Di", "Fe") for b in ("lim", "run", "sed", "gav", "hok", "pyx")]
+    names = [n for g in pairs for n in g] + hot
+    assert linked(spark, names) == {(0, 1), (2, 3), (4, 5), (4, 6), (5, 6)}

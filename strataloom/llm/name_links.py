@@ -385,9 +385,7 @@ def persons(aliases: DataFrame, id_col: str = "id", name_col: str = "name", leas
     better = F.expr("not l_sure and (r_sure or r_n > l_n or (r_n = l_n and right_family < left_family))")
     mended = both.join(here, ["given", "left_family"]).join(there, ["given", "right_family"]).where(better)
     mended = mended.groupBy("given", "left_family").agg(F.max_by("right_family", F.struct("r_sure", "r_n", "right_family")).alias("right_family"))
-    # one more step where the target was itself mended
-    step = mended.select("given", F.col("left_family").alias("right_family"), F.col("right_family").alias("next_family"))
-    mended = checkpointed(mended.join(step, ["given", "right_family"], "left").select("given", F.col("left_family").alias("family"), F.coalesce("next_family", "right_family").alias("mended")))
+    mended = _followed(mended.select("given", F.col("left_family").alias("family"), F.col("right_family").alias("mended")))
     named = parsed.where("given <> ''").join(mended, ["given", "family"], "left").select("alias_id", "given", F.coalesce("mended", "family").alias("family"))
     owners = named.select("given", "family").distinct().select(F.explode(_initials(F.col("given"))).alias("initial"), "family", "given").groupBy("initial", "family").agg(F.min("given").alias("given"), F.max("given").alias("other"))
     owners = owners.where("given = other").drop("other")
@@ -395,6 +393,18 @@ def persons(aliases: DataFrame, id_col: str = "id", name_col: str = "name", leas
     return named.unionByName(lone.select("alias_id", F.coalesce("owner", F.concat("initial", F.lit("."))).alias("given"), "family")).distinct()
 
 
+def _followed(mended: DataFrame) -> DataFrame:
+    """given, family, mended with each target that is itself mended followed to its end: pointers jump. Targets are
+    always better than what they mend, so there are no circles."""
+    mended = checkpointed(mended)
+    while True:
+        step = mended.select("given", F.col("family").alias("mended"), F.col("mended").alias("further"))
+        jumped = checkpointed(mended.join(step, ["given", "mended"], "left").select("given", "family", F.coalesce("further", "mended").alias("mended"), F.col("further").isNotNull().alias("moved")))
+        mended = jumped.select("given", "family", "mended")
+        if jumped.where("moved").isEmpty():
+            return mended
+
+
 def _initials(given):
     return F.array_distinct(F.array(F.substring(given, 1, 1)))
 

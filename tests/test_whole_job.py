@@ -59,3 +59,10 @@ def test_word_orders_meet_whatever_is_known(spark):
     hot = [f"{a}{b}zor Smithe <h@x.test>" for a in ("Ka", "Bo", "Tu", "Di", "Fe") for b in ("lim", "run", "sed", "gav", "hok", "pyx")]
     names = [n for g in pairs for n in g] + hot
     assert linked(spark, names) == {(0, 1), (2, 3), (4, 5), (4, 6), (5, 6)}
+
+
+def test_chains_of_slips_end_at_one_spelling(spark):
+    families = ["Lipidabo", "Lipidaboxu", "Lipidaboxun", "Lipidaboxuni"]
+    families[1:1] = ["Lipidabox"]
+    names = [f"Samuel {f} <x@y.test>" for n, f in enumerate(families, 1) for _ in range(n)]
+    assert linked(spark, names) == {(i, j) for j in range(len(names)) for i in range(j)}

@@ -11,15 +11,16 @@ counting in Spark,
 * the prevailing naming style of each repository; a foreign style, and names that repeat their package, are templates
   too, and mark vendored copies.
 
-All tables have a fixed number of hash buckets, so what is broadcast is bounded whatever the corpus.
+Trigrams and templates are counted by hashes of 60 bits, so that different ones don't share a count. Of the templates
+only those that can decide about a file, by support and share, reach the driver and are broadcast.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
-from zlib import crc32
+from collections.abc import Iterable, Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
@@ -28,7 +29,6 @@ from pyspark.sql import functions as F
 
 from strataloom.session import checkpointed, spread
 
-NAME_BUCKETS, TEMPLATE_BUCKETS = 1 << 18, 1 << 20
 #: Weak labels, by the way a file was committed.
 HAND, GENERATED, COPIED, MINIFIED, DATA = range(5)
 LARGE, GROWN, ONE_WAY, FEW_LINES = 600, 100, 5000, 8
@@ -47,8 +47,24 @@ _SPLIT = re.compile(r"[/\\]+")
 _HEX = re.compile(r"(?<![a-z0-9])(?=[a-f]*\d)[0-9a-f]{6,}(?![a-z0-9])")
 
 
-def bucket(text: str, buckets: int) -> int:
-    return crc32(text.encode("utf-8", "replace")) % buckets
+def key_of(text: str) -> int:
+    """Hash of 60 bits, so that three more fit into a bigint."""
+    return int.from_bytes(blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "big") >> 4
+
+
+class Table:
+    """Figures by key, as sorted arrays; 0 for a key that isn't there."""
+
+    def __init__(self, keys: np.ndarray, *figures: np.ndarray):
+        order = np.argsort(keys)
+        self.keys = np.append(keys[order].astype(np.int64), np.iinfo(np.int64).max)
+        self.figures = [np.append(f[order], f.dtype.type(0)) for f in figures]
+
+    def of(self, wanted: Iterable[int]) -> list[np.ndarray]:
+        wanted = np.array(wanted, dtype=np.int64)
+        at = np.searchsorted(self.keys, wanted)
+        at[self.keys[at] != wanted] = len(self.keys) - 1
+        return [f[at] for f in self.figures]
 
 
 def behaviour(commits, inserts, deletes, binary) -> int | None:
@@ -81,10 +97,10 @@ def parts_of(path: str) -> tuple[list[str], str, str, str]:
 
 
 def name_grams(stem: str, language: str) -> Iterator[tuple[int, int]]:
-    """Buckets of the (trigram, its two-character context) pairs of a name in a language."""
+    """Keys of the (trigram, its two-character context) pairs of a name in a language."""
     padded = f"^^{stem.lower()}$"
     for i in range(2, len(padded)):
-        yield bucket(f"{language}|{padded[i - 2 : i + 1]}", NAME_BUCKETS), bucket(f"{language}|{padded[i - 2 : i]}|", NAME_BUCKETS)
+        yield key_of(f"{language}|{padded[i - 2 : i + 1]}"), key_of(f"{language}|{padded[i - 2 : i]}|")
 
 
 def templates(path: str, style: str | None, entropy: float) -> set[str]:
@@ -108,18 +124,17 @@ def templates(path: str, style: str | None, entropy: float) -> set[str]:
     return found
 
 
-def cross_entropy(stem: str, language: str, grams: np.ndarray) -> float:
+def cross_entropy(stem: str, language: str, grams: Table) -> float:
     """Bits per character of a name under the hand-written names of its language."""
     pairs = list(name_grams(stem, language))
-    return sum(-math.log2((grams[a] + 0.05) / (grams[b] + 2.0)) for a, b in pairs) / len(pairs)
+    counts = grams.of([x for pair in pairs for x in pair])[0].tolist()
+    return sum(-math.log2((a + 0.05) / (b + 2.0)) for a, b in zip(counts[::2], counts[1::2])) / len(pairs)
 
 
-def _counts(rows: DataFrame, column: str, size: int) -> np.ndarray:
-    """Counts per bucket of ``column``, summed map-side; at most ``size`` rows come to the driver."""
-    table = rows.groupBy(column).count().toArrow()
-    out = np.zeros(size, dtype=np.float32)
-    out[table[column].to_numpy()] = table["count"].to_numpy()
-    return out
+def _counted(keys: list[int]) -> pd.DataFrame:
+    """Keys of a batch with their counts, so that fewer rows are shuffled."""
+    key, n = np.unique(np.array(keys, dtype=np.int64), return_counts=True)
+    return pd.DataFrame({"key": key, "n": n.astype(np.int64)})
 
 
 def source_files(totals: DataFrame, commits: DataFrame) -> DataFrame:
@@ -166,66 +181,79 @@ def machine_made(totals: DataFrame, commits: DataFrame) -> DataFrame:
                     _, _, stem, language = parts_of(path)
                     for pair in name_grams(stem, language):
                         out.extend(pair)
-            yield pd.DataFrame({"gram": np.array(out, dtype=np.int32)})
+            yield _counted(out)
 
-    names = sc.broadcast(_counts(files.mapInPandas(grams, "gram int"), "gram", NAME_BUCKETS))
+    known_grams = files.mapInPandas(grams, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
+    names = sc.broadcast(Table(known_grams["key"].to_numpy(), known_grams["n"].to_numpy().astype(np.float32)))
 
     def templates_of(batch: pd.DataFrame) -> Iterator[tuple[dict[int, str], int | None, tuple]]:
         for repo, path, n, i, d, b, style in zip(*(batch[c] for c in ("repo", "path", "commits", "inserts", "deletes", "is_binary", "style"))):
             _, _, stem, language = parts_of(path)
             texts = sorted(templates(path, style, cross_entropy(stem, language, names.value)))
-            own = [bucket(t, TEMPLATE_BUCKETS) for t in texts]
+            own = [key_of(t) for t in texts]
             yield dict(zip(own, texts)), behaviour(_plain(n), _plain(i), _plain(d), _plain(b)), (repo, path, _plain(i), _plain(d), _plain(b))
 
-    def learn(known: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Per template bucket the share of files that don't behave as hand-written, the share of the commonest such
-        behaviour, and that behaviour; files with a template that ``known`` gives a clear share are left out."""
+    def learn(known: Table | None) -> Table:
+        """Per template that can decide the share of files that don't behave as hand-written, the share of the commonest
+        such behaviour, and that behaviour; files with a template that ``known`` gives a clear share are left out."""
         shared = sc.broadcast(known) if known is not None else None
 
         def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
                 keys: list[int] = []
                 for own, label, _ in templates_of(batch):
-                    if label is None or (shared is not None and shared.value[list(own)].max() >= CLEAR):
+                    if label is None or (shared is not None and shared.value.of(list(own))[0].max() >= CLEAR):
                         continue
-                    keys.extend(x * 5 + label for x in own)
-                yield pd.DataFrame({"key": np.array(keys, dtype=np.int32)})
-
-        table = _counts(files.mapInPandas(count, "key int"), "key", TEMPLATE_BUCKETS * 5).reshape(TEMPLATE_BUCKETS, 5)
-        total = table.sum(axis=1)
-        other = total - table[:, HAND]
-        base = other.sum() / max(1.0, total.sum())
-
-        def lower(part: np.ndarray, prior: float) -> np.ndarray:
-            share = (part + PRIOR * prior) / (total + PRIOR)
-            share -= DOUBT * np.sqrt(np.maximum(share * (1 - share), 0.01) / (total + PRIOR))
-            share[total < SUPPORT] = 0
-            return share.astype(np.float32)
-
-        share, most = lower(other, base), lower(table[:, 1:].max(axis=1), 0.0)
-        kind = (table[:, 1:].argmax(axis=1) + 1).astype(np.int8)
-        for label, marks in KNOWN.items():
-            for at in (bucket(m, TEMPLATE_BUCKETS) for m in marks):
-                share[at] = (other[at] + 2 * PRIOR) / (total[at] + 2 * PRIOR)
-                kind[at] = kind[at] if total[at] >= SUPPORT else label
-        return share, most, kind
+                    keys.extend(x << 3 | label for x in own)
+                yield _counted(keys)
+
+        label = F.col("key").bitwiseAND(F.lit(7))
+        sums = [F.sum(F.when(label == k, F.col("n")).otherwise(0)).alias(f"n{k}") for k in range(5)]
+        table = checkpointed(files.mapInPandas(count, "key bigint, n bigint").groupBy(F.shiftright("key", 3).alias("template")).agg(*sums))
+        table = table.withColumns({"other": F.expr("n1 + n2 + n3 + n4"), "total": F.expr("n0 + n1 + n2 + n3 + n4"), "top": F.expr("greatest(n1, n2, n3, n4)")})
+        table = table.withColumn("kind", F.expr("case top when n1 then 1 when n2 then 2 when n3 then 3 else 4 end"))
+        sums_all = table.agg(F.sum("other"), F.sum("total")).first()
+        base = (sums_all[0] or 0) / max(1.0, sums_all[1] or 0)
+
+        def lower(part: str, prior: float):
+            share = (F.col(part) + PRIOR * prior) / (F.col("total") + PRIOR)
+            return share - DOUBT * F.sqrt(F.greatest(share * (1 - share), F.lit(0.01)) / (F.col("total") + PRIOR))
+
+        # known marks count without support, absent ones too
+        marks = {key_of(m): k for k, texts in KNOWN.items() for m in texts}
+        own = table.where(F.col("template").isin(list(marks))).withColumns({"share": F.lit(0.0), "most": F.when(F.col("total") >= SUPPORT, lower("top", 0.0)).otherwise(0.0)})
+        rows = {r["template"]: r for r in own.collect()}
+        deciding = table.where((F.col("total") >= SUPPORT) & ~F.col("template").isin(list(marks))).withColumns({"share": lower("other", base), "most": lower("top", 0.0)})
+        found = deciding.where((F.col("share") >= STRONG) | (F.col("most") >= FAIR)).select("template", "share", "most", "kind").toArrow()
+        keys, share, most, kind = ([*found[c].to_pylist()] for c in ("template", "share", "most", "kind"))
+        for m, k in marks.items():
+            r = rows.get(m)
+            other, total = (r["other"], r["total"]) if r else (0, 0)
+            keys.append(m)
+            share.append((other + 2 * PRIOR) / (total + 2 * PRIOR))
+            most.append(r["most"] if r else 0.0)
+            kind.append(r["kind"] if r and total >= SUPPORT else k)
+        return Table(np.array(keys, dtype=np.int64), np.array(share, dtype=np.float32), np.array(most, dtype=np.float32), np.array(kind, dtype=np.int8))
 
     clear = learn(None)
-    models = sc.broadcast((*clear, *learn(clear[0])))
+    models = sc.broadcast((clear, learn(clear)))
     kinds = ["hand", "generated", "vendored", "minified", "data"]
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        share, _, kind, rest, rest_most, rest_kind = models.value
+        first, after = models.value
         for batch in batches:
             out = []
             for own, label, (repo, path, inserts, deletes, binary) in templates_of(batch):
-                best, second, alike = (max(own, key=x.__getitem__) for x in (share, rest, rest_most))
+                texts = list(own.values())
+                share, _, kind = first.of(list(own))
+                rest, rest_most, rest_kind = after.of(list(own))
+                best, second, alike = (int(x.argmax()) for x in (share, rest, rest_most))
                 if share[best] >= CLEAR:
-                    out.append((repo, path, kinds[kind[best]], own[best], float(share[best])))
+                    out.append((repo, path, kinds[kind[best]], texts[best], float(share[best])))
                 elif rest[second] >= STRONG:
-                    out.append((repo, path, kinds[rest_kind[second]], own[second], float(rest[second])))
+                    out.append((repo, path, kinds[rest_kind[second]], texts[second], float(rest[second])))
                 elif rest_most[alike] >= FAIR and label == rest_kind[alike] != MINIFIED:
-                    out.append((repo, path, kinds[label], own[alike], float(rest_most[alike])))
+                    out.append((repo, path, kinds[label], texts[alike], float(rest_most[alike])))
                 elif binary == 1 or (deletes == 0 and (inserts or 0) >= ONE_WAY):
                     out.append((repo, path, "data", "", 1.0))
             yield pd.DataFrame(out, columns=["owner_repo", "file_path", "mark", "template", "share"])

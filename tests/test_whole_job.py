@@ -1,10 +1,13 @@
 """Results that must hold the whole job, not a part of it."""
 
+from itertools import product
 from pathlib import Path
+from zlib import crc32
 
 import duckdb
 import pytest
 
+from strataloom.llm.generated_files import KNOWN, machine_made
 from strataloom.llm.name_links import fold, name_tokens, same_person
 from strataloom.plans import training
 
@@ -66,3 +69,12 @@ def test_chains_of_slips_end_at_one_spelling(spark):
     families[1:1] = ["Lipidabox"]
     names = [f"Samuel {f} <x@y.test>" for n, f in enumerate(families, 1) for _ in range(n)]
     assert linked(spark, names) == {(i, j) for j in range(len(names)) for i in range(j)}
+
+
+def test_names_that_share_a_hash_bucket_with_a_mark_are_no_marks(spark):
+    marks = {crc32(m.encode()) % (1 << 20) for texts in KNOWN.values() for m in texts}
+    name = next(n for n in ("".join(w) + ".py" for w in product("abcdefghij", repeat=6)) if crc32(f"b:{n}".encode()) % (1 << 20) in marks)
+    schema = "owner string, repo_name string, owner_repo string, file_path string, {} total_inserts long, total_deletes long, is_binary byte"
+    totals = spark.createDataFrame([("o", "r", "o/r", f"src/{name}", 5, 120, 40, 0), ("o", "r", "o/r", "vendor/z.go", 5, 120, 40, 0)], schema.format("num_commits long,"))
+    commits = spark.createDataFrame([], schema.format("commit_id string,"))
+    assert {r["file_path"] for r in machine_made(totals, commits).collect()} == {"vendor/z.go"}

@@ -43,6 +43,25 @@ def type_correlations(matrix: DataFrame, types: list[str], above: float) -> Data
     return wide.select(F.inline(rows)).where(F.col("correlation") > above)
 
 
+def main_type_inserts(rows: DataFrame, per_thousand: int) -> DataFrame:
+    """log_id, type, inserts of the types in more than so many of a thousand commits; a type that is absent is 0."""
+    return rows.join(main_types(rows, per_thousand).select("type"), "type").select("log_id", "type", "inserts")
+
+
+def all_type_correlations(rows: DataFrame, per_thousand: int, above: float) -> DataFrame:
+    """``type_correlations`` of every pair of main types, from sums in long form over all commits."""
+    total = rows.agg(F.countDistinct("log_id")).scalar().cast("double")
+    main = main_type_inserts(rows, per_thousand).withColumn("v", F.col("inserts").cast("double"))
+    each = main.groupBy("type").agg(F.sum("v").alias("s"), F.sum(F.col("v") * F.col("v")).alias("ss"))
+    left, right = (main.select("log_id", F.col("type").alias(f"{x}_type"), F.col("v").alias(x)) for x in ("left", "right"))
+    both = left.join(right, "log_id").where("left_type < right_type").groupBy("left_type", "right_type").agg(F.sum(F.col("left") * F.col("right")).alias("p"))
+    # a pair that never meets can't correlate positively, as inserts aren't negative
+    pairs = both.join(each.select(F.col("type").alias("left_type"), F.col("s").alias("ls"), F.col("ss").alias("lss")), "left_type").join(each.select(F.col("type").alias("right_type"), F.col("s").alias("rs"), F.col("ss").alias("rss")), "right_type")
+    pairs = pairs.withColumn("n", total)
+    corr = F.expr("try_divide(n * p - ls * rs, sqrt(n * lss - ls * ls) * sqrt(n * rss - rs * rs))")
+    return pairs.select("left_type", "right_type", F.round(corr, 6).alias("correlation")).where(F.col("correlation") > above)
+
+
 def histogram(rows: DataFrame, value: str, bins: int) -> DataFrame:
     """Counts in ``bins`` equal bins between the least and the greatest value; the last bin is closed."""
     low, high = rows.agg(F.min(value)).scalar(), rows.agg(F.max(value)).scalar()

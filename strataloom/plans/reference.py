@@ -471,6 +471,22 @@ def type_correlation(spark: SparkSession, d: str) -> DataFrame:
     return features.type_correlations(type_matrix(spark, d), TYPES, 0.01)
 
 
+_MAIN = f"select type from ({_POPULAR}) where n_commits * 1000 > (select count(distinct log_id) from ({_TYPE_ROWS}))"
+
+
+@query(f"select log_id, type, inserts from ({_TYPE_ROWS}) where type in ({_MAIN})")
+def type_matrix_all(spark: SparkSession, d: str) -> DataFrame:
+    return features.main_type_inserts(types(spark, d), 1)
+
+
+@query(
+    f"""with t as ({_TYPE_ROWS}), w as (select i.log_id, m.type, coalesce(t.inserts, 0) as v from (select distinct log_id from t) i cross join ({_MAIN}) m left join t on t.log_id = i.log_id and t.type = m.type)
+select l.type as left_type, r.type as right_type, round(corr(l.v, r.v), 6) as correlation from w l join w r on l.log_id = r.log_id and l.type < r.type group by 1, 2 having corr(l.v, r.v) > 0.01"""
+)
+def type_correlation_all(spark: SparkSession, d: str) -> DataFrame:
+    return features.all_type_correlations(types(spark, d), 1, 0.01)
+
+
 @query("with e as (select min(value) as lo, max(value) as hi from events) select cast(least(floor((value - lo) * 100 / (hi - lo)), 99) as int) as bin, count(*) as n from events, e where value is not null group by 1")
 def value_histogram(spark: SparkSession, d: str) -> DataFrame:
     return features.histogram(table(spark, d, "events"), "value", 100)

@@ -9,7 +9,7 @@ import pytest
 
 from strataloom.llm.generated_files import KNOWN, machine_made
 from strataloom.llm.name_links import fold, name_tokens, same_person
-from strataloom.plans import training
+from strataloom.plans import reference, training
 
 DATA = "/root/testdata/sf0.001"
 
@@ -78,3 +78,9 @@ def test_names_that_share_a_hash_bucket_with_a_mark_are_no_marks(spark):
     totals = spark.createDataFrame([("o", "r", "o/r", f"src/{name}", 5, 120, 40, 0), ("o", "r", "o/r", "vendor/z.go", 5, 120, 40, 0)], schema.format("num_commits long,"))
     commits = spark.createDataFrame([], schema.format("commit_id string,"))
     assert {r["file_path"] for r in machine_made(totals, commits).collect()} == {"vendor/z.go"}
+
+
+def test_types_beyond_the_list(spark):
+    assert {r["type"] for r in compared(spark, reference, "type_matrix_all")} - set(reference.TYPES)
+    pairs = compared(spark, reference, "type_correlation_all")
+    assert {t for r in pairs for t in (r["left_type"], r["right_type"])} - set(reference.TYPES)

@@ -437,6 +437,12 @@ def import_scan(spark: SparkSession, d: str) -> DataFrame:
     return text.import_counts(table(spark, d, "documents"), list(_SCAN))
 
 
+@query()
+def import_scan_all(spark: SparkSession, d: str) -> DataFrame:
+    """``import_scan`` in every language of IMPORTS."""
+    return text.import_counts(table(spark, d, "documents"), list(text.IMPORTS))
+
+
 # ---- features of commits and models -----------------------------------------------------------------------------
 
 _TYPE_ROWS = """select log_id, regexp_replace(lower(type), '^[.]', '') as type, cast(sum(coalesce(v.inserts, 0)) as bigint) as inserts, cast(sum(coalesce(v.deletes, 0)) as bigint) as deletes, cast(sum(coalesce(v.occurrences, 0)) as bigint) as occurrences

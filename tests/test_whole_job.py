@@ -84,3 +84,11 @@ def test_types_beyond_the_list(spark):
     assert {r["type"] for r in compared(spark, reference, "type_matrix_all")} - set(reference.TYPES)
     pairs = compared(spark, reference, "type_correlation_all")
     assert {t for r in pairs for t in (r["left_type"], r["right_type"])} - set(reference.TYPES)
+
+
+def test_imports_of_every_language(spark, tmp_path):
+    from tests.test_reference import SOURCES
+
+    spark.createDataFrame([(i, source) for i, (source, _) in enumerate(SOURCES.values())], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {(r["language"], r["dependency"]) for r in reference.import_scan_all(spark, str(tmp_path)).collect()}
+    assert {(language, name) for language, (_, names) in SOURCES.items() for name in names} <= got

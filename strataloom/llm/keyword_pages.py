@@ -1,9 +1,11 @@
 """Pages of repeated keywords, bare links or product tags instead of text (problem 10).
 
-Two measures are taken of each whole page. One builds the page's suffix automaton, over its words and separators, and
-counts the characters that lie in a repeated maximal substring. The other looks for clauses: segments of text that have
-the function words sentences need. A page is flagged if what isn't clauses outweighs them and that rest is repeated,
-strung-together or linked words; lines in the syntax of code, logs, dependency lists and tables count as structure.
+Two measures of each whole page are combined. One builds the page's suffix automaton over its characters and counts those
+that lie in a repeated maximal substring. The other looks for clauses, without a list of words: a segment is a clause if
+it is written like one (a capital, words in lower case with plain gaps, a mark at its end), or if it has enough of the
+words that the corpus itself uses in such segments and hardly anywhere else. A page is flagged if the characters that are
+both repeated and in no clause are a large part of it. Lines in the syntax of code, logs, dependency lists and tables,
+which aren't cases, count as structure.
 """
 
 from __future__ import annotations
@@ -11,29 +13,27 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strataloom.session import spread
 
-#: Function words of English, German and Spanish.
-FUNCTION_WORDS = frozenset(
-    """the an is are was were be been to of and in that it its for on with as at by from this these not or but if we you
-    they he she can could will would should which when what who where because until since once only then than so there
-    have has had do does did doesn't don't isn't can't my your our their please into onto about whether every most both
-    other another yet already how why i'm i me let
-    der die das dem den des und ist sind nicht ein eine einen zu im mit von für auf es sich wird wurde wurden werden als
-    auch noch bitte ob wir ich sonst haben hat kann statt pro bei aus nach über wenn nur alle fehlen warum
-    el los las una un que y en se por con para es está lo su pero si cuando hay fue han antes ya del al sin sobre cada
-    este esta desde porque qué ninguna nadie otra vez más""".split()
-)
 LONGEST_WORD = 40
-_TOKEN = re.compile(r"[^\W_]+|[\W_]")
+#: Pages of more characters are measured by a suffix array, which finds the same repeats in less memory.
+LONGEST_AUTOMATON = 50_000
+#: A clause word stands, of its uses in lower case, this share within a run of words, and this share in lines that have a
+#: sentence mark; it has so many uses; at most so many clause words are used, the most frequent ones.
+WITHIN, MARKED, LEAST_USES, MOST_WORDS = 0.93, 0.5, 20, 4096
 _RUN = re.compile(r"[^\W_]+")
 _WORD = re.compile(r"[^\W\d_][\w'’]*")
 _LINK = re.compile(r"<a\s[^>]*>|https?://[^\s)\"'<>\]|]+|www\.[^\s)\"'<>\]|]+", re.I)
-_SEGMENT = re.compile(r"\n|(?<=[.!?;])\s|</?(?:li|p|br|ul|ol|td|tr)[^>]*>", re.I)
+_SEGMENT = re.compile(r"\n|(?<=[.!?;…])\s|(?<=[。！？；।])|</?(?:li|p|br|ul|ol|td|tr)[^>]*>", re.I)
+#: Marks that end a clause, and scripts written without blanks.
+_ENDS = re.compile(r"[.!?…:。！？।؟][\"'”»)\]*_`」』]*\s*$")
+_UNSPACED = re.compile(r"[\u0e00-\u0eff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff]")
+_PLAIN_GAP = re.compile(r"(?<=\w)[,;:]? (?=\w)")
 #: Lines in the syntax of badges, logs, versions, code and tables.
 _STRUCTURE = re.compile(
     r"""^\s*\[?!\[ | ^\s+(?:return\b|\#) | ^\s*(?:\[?\d{4}-\d\d-\d\d[T ]\d\d:\d\d | \[?\d\d:\d\d:\d\d\b | (?:INFO|WARN|ERROR|DEBUG|FATAL)\b | \$\s | [+-]{3}\s | @@ | \#include\b
@@ -43,11 +43,16 @@ _STRUCTURE = re.compile(
       | ^\s*[\w.$-]+\s*=\s*\S | ^\s*at\s+\w+\. | ^\s*"[^"]+"\s*: | ^[^|]*\|[^|]*\|.*\d[^|]*\|\s*$""",
     re.X,
 )
+#: Words in lower case; those between two words with a blank, or a mark and a blank, on either side; lines with a
+#: sentence mark. In the syntax of the JVM.
+_LOWER = r"(?<![\p{L}\p{M}\p{N}'’_])\p{Ll}[\p{L}\p{M}'’]*(?![\p{L}\p{M}\p{N}'’_])"
+_INNER = r"(?<=[\p{L}\p{M}\p{N}`)\]”\"][,;:]{0,1} )\p{Ll}[\p{L}\p{M}'’]*(?= [\p{L}\p{N}`(\[“\"¿])"
+_MARK = r"[\p{L}\p{N}`)\"'][.!?…](?:\s|$)"
 
 
 def repeated_spans(symbols: list[int], weights: list[int], shortest: int) -> int:
-    """Weight of the symbols that lie in some substring which occurs at least twice in ``symbols`` and weighs at least
-    ``shortest``: one suffix automaton, linear in the number of symbols.
+    """Weight of the symbols that lie in some substring of at least ``shortest`` symbols which occurs at least twice: one
+    suffix automaton, linear in the number of symbols.
 
     For every prefix the longest suffix that occurs twice is read off the chain of suffix links; the union of these
     maximal repeats is what is covered.
@@ -72,7 +77,7 @@ def repeated_spans(symbols: list[int], weights: list[int], shortest: int) -> int
                 length.append(length[p] + 1)
                 link.append(link[q])
                 count.append(0)
-                go.append(dict(go[q]))
+                go.append(go[q].copy())
                 while p >= 0 and go[p].get(c) == q:
                     go[p][c] = twin
                     p = link[p]
@@ -87,32 +92,84 @@ def repeated_spans(symbols: list[int], weights: list[int], shortest: int) -> int
     longest = [0] * len(length)
     for s in buckets:
         longest[s] = length[s] if count[s] >= 2 else longest[link[s]]
+    return _covered([longest[e] for e in ends], weights, shortest)
+
+
+def _covered(longest: list[int], weights: list[int], shortest: int) -> int:
+    """Weight of the union of the repeats that end at each place and are ``longest`` there."""
     before = [0]
     for w in weights:
         before.append(before[-1] + w)
-    covered, reach = 0, len(symbols)
-    for i in range(len(symbols) - 1, -1, -1):
-        start = i + 1 - longest[ends[i]]
-        if before[i + 1] - before[start] >= shortest and start < reach:
+    covered, reach = 0, len(longest)
+    for i in range(len(longest) - 1, -1, -1):
+        start = i + 1 - longest[i]
+        if longest[i] >= shortest and start < reach:
             covered += before[min(i + 1, reach)] - before[start]
             reach = start
     return covered
 
 
+def repeated_spans_by_sorting(symbols: list[int], weights: list[int], shortest: int) -> int:
+    """``repeated_spans`` by a suffix array of doubled prefixes: the same figure, in a few arrays whatever the length."""
+    n = len(symbols)
+    rank = np.unique(np.array(symbols, dtype=np.int64), return_inverse=True)[1].astype(np.int64)
+    width, order = 1, np.argsort(rank, kind="stable")
+    while n > 1:
+        key = rank * (n + 1) + np.concatenate([rank[width:] + 1, np.zeros(min(width, n), np.int64)])[:n]
+        order = np.argsort(key, kind="stable")
+        rank = np.empty(n, np.int64)
+        rank[order] = np.cumsum(np.concatenate([[0], np.diff(key[order]) != 0]))
+        width *= 2
+        if rank[order[-1]] == n - 1 or width >= n:
+            break
+    at, follows = rank.tolist(), order.tolist()
+    common, h = [0] * n, 0
+    for i in range(n):
+        if at[i]:
+            j = follows[at[i] - 1]
+            while i + h < n and j + h < n and symbols[i + h] == symbols[j + h]:
+                h += 1
+            common[at[i]] = h
+            h = max(0, h - 1)
+        else:
+            h = 0
+    before = np.concatenate([[0], np.cumsum(weights)])
+    covered = reach = 0
+    for i in range(n):
+        span = max(common[at[i]], common[at[i] + 1] if at[i] + 1 < n else 0)
+        if span >= shortest and i + span > reach:
+            covered += int(before[i + span] - before[max(i, reach)])
+            reach = i + span
+    return covered
+
+
 def _size(text: str) -> int:
     """Characters of the words and numbers in a text; single characters and runs longer than any word don't count."""
-    return sum(len(x) for x in _RUN.findall(text) if 1 < len(x) <= LONGEST_WORD)
+    return sum(len(x) for x in _RUN.findall(text) if (1 < len(x) <= LONGEST_WORD) or _UNSPACED.match(x))
 
 
-def measures(text: str) -> dict[str, float]:
-    """``words`` and ``repeat``, the share of visible characters in repeated substrings, and how the characters of words
-    and links are divided: ``clause`` (clauses and links beside them), ``structure`` (code, logs, versions, tables,
-    badges), ``link`` (links without a clause) and ``free`` (the rest). The four add up to 1, or 0 without any word."""
-    names: dict[str, int] = {}
-    tokens = _TOKEN.findall(text.lower())
-    symbols = [names.setdefault(t, len(names)) for t in tokens]
-    weights = [0 if t.isspace() else len(t) for t in tokens]
+def written_clause(segment: str, words: list[str]) -> bool:
+    """Whether a segment is written like a clause: in spaced scripts at least five words, the first with a capital (where
+    the script has them) and most others in lower case, plain gaps between most of them, a mark at its end, and hardly a word
+    twice; in unspaced ones at least eight letters with a mark at the end."""
+    if not _ENDS.search(segment):
+        return False
+    if len(_UNSPACED.findall(segment)) >= 8:
+        return True
+    if len(words) < 5 or words[0][0].islower() or sum(w[0].isupper() for w in words[1:]) * 2 > len(words):
+        return False
+    gaps = len(_PLAIN_GAP.findall(segment))
+    return gaps >= 0.6 * (len(words) - 1) and segment.count(",") * 3 <= len(words) and len({w.lower() for w in words}) >= 0.75 * len(words)
+
+
+def parts(text: str, clause_words: frozenset[str]) -> tuple[dict[str, float], list[tuple[str, bool]]]:
+    """How the characters of a page's words and links are divided, and its pieces with whether they are loose.
+
+    ``words``; ``clause`` (clauses and links beside them), ``structure`` (code, logs, versions, tables, badges), ``link``
+    (links without a clause) and ``free`` (the rest); these four add up to 1, or 0 without any word.
+    """
     clause = structure = words = free = link = 0
+    pieces: list[tuple[str, bool]] = []
     for line in text.split("\n"):
         if not line or line.isspace():
             continue
@@ -121,42 +178,89 @@ def measures(text: str) -> dict[str, float]:
         if _STRUCTURE.search(plain):
             structure += _size(plain) + links
             words += len(_WORD.findall(plain))
+            pieces.append((line, False))
             continue
-        within = 0
+        within = loose = 0
         for segment in _SEGMENT.split(plain):
-            inside = [w.lower() for w in _WORD.findall(segment) if len(w) <= LONGEST_WORD]
+            inside = [w for w in _WORD.findall(segment) if len(w) <= LONGEST_WORD]
             words += sum(len(w) > 1 for w in inside)
-            hits = sum(w in FUNCTION_WORDS for w in inside)
             size = _size(segment)
-            if hits and len(inside) >= 3 and hits >= 0.11 * len(inside):
+            hits = sum(w.lower() in clause_words for w in inside)
+            if written_clause(segment, inside) or (len(inside) >= 3 and hits >= max(1 if _ENDS.search(segment) else 2, 0.11 * len(inside))):
                 within += size
             else:
-                free += size
+                loose += size
         clause += within + (links if within else 0)
+        free += loose
         link += 0 if within else links
+        pieces.append((line, loose + (0 if within else links) > within))
     total = max(1, clause + structure + free + link)
-    repeat = repeated_spans(symbols, weights, 3) / max(1, sum(weights))
-    return {"words": words, "repeat": repeat, "clause": clause / total, "structure": structure / total, "link": link / total, "free": free / total}
+    return {"words": words, "clause": clause / total, "structure": structure / total, "link": link / total, "free": free / total}, pieces
 
 
-def is_keyword_page(m: dict[str, float], least_words: int = 14) -> bool:
-    """The decision on the measures of a page: enough loose words or links, more of them than clauses and structure, and
-    either no clauses to speak of or repeats, the more of them the more clauses there are."""
+def coverage(pieces: list[tuple[str, bool]]) -> float:
+    """Share of the visible characters of a page that are repeated within it and loose. Repeats count from a length on
+    that chance repeats in a page of this size don't reach; case and the width of blanks don't matter."""
+    texts = [(re.sub(r"\s+", " ", piece.lower()) + "\n", loose) for piece, loose in pieces]
+    symbols = [ord(c) for piece, _ in texts for c in piece]
+    weights = [int(loose and not c.isspace()) for piece, loose in texts for c in piece]
+    visible = sum(not c.isspace() for piece, _ in texts for c in piece)
+    shortest = max(4, round(len(symbols).bit_length() / 2))
+    spans = repeated_spans if len(symbols) <= LONGEST_AUTOMATON else repeated_spans_by_sorting
+    return spans(symbols, weights, shortest) / max(1, visible)
+
+
+#: A page is a keyword page from this share of repeated loose characters on, if it has that many words or is mostly links.
+LEAST_COVERAGE, LEAST_WORDS = 0.2, 14
+
+
+def measures(text: str, clause_words: frozenset[str] = frozenset()) -> dict[str, float]:
+    """The shares of ``parts`` and ``repeat``, the share of repeated loose characters.
+
+    The loose characters bound ``repeat``; where they are too few for the decision the automaton isn't built and
+    ``repeat`` is 0.
+    """
+    shares, pieces = parts(text, clause_words)
+    visible = sum(not c.isspace() for c in text)
+    loose = sum(not c.isspace() for piece, is_loose in pieces if is_loose for c in piece)
+    return shares | {"repeat": coverage(pieces) if loose >= LEAST_COVERAGE * visible else 0.0}
+
+
+def is_keyword_page(m: dict[str, float], least_words: int = LEAST_WORDS) -> bool:
+    """The decision on the measures of a page: enough words or links, more of them loose than in clauses and structure,
+    and enough of the page both repeated and loose."""
     if m["words"] < least_words and m["link"] < 0.5:
         return False
-    strung = m["clause"] + m["structure"] < 0.12 and m["words"] >= 2 * least_words
-    return m["free"] + m["link"] > 0.5 and (strung or m["repeat"] + m["link"] >= 0.3 + 0.5 * m["clause"])
+    return m["free"] + m["link"] > 0.5 and m["repeat"] >= LEAST_COVERAGE
+
+
+def clause_words(docs: DataFrame, text_col: str = "text") -> frozenset[str]:
+    """The words that the texts of a table use within clauses and hardly anywhere else, whatever the language.
+
+    One pass over all lines in the JVM, one aggregation combined map-side; at most ``MOST_WORDS`` words, the most frequent
+    ones, reach the driver, and function words are among the most frequent of any language.
+    """
+    lines = docs.select(F.explode(F.split(F.col(text_col).cast("string"), "\n")).alias("line"))
+    marked = F.col("line").rlike(_MARK)
+    uses = F.transform(F.regexp_extract_all("line", F.lit(_LOWER), F.lit(0)), lambda w: F.struct(w.alias("word"), F.lit(1).alias("n"), F.lit(0).alias("inner"), marked.cast("int").alias("marked")))
+    inner = F.transform(F.regexp_extract_all("line", F.lit(_INNER), F.lit(0)), lambda w: F.struct(w.alias("word"), F.lit(0).alias("n"), F.lit(1).alias("inner"), F.lit(0).alias("marked")))
+    rows = lines.select(F.explode(F.concat(uses, inner)).alias("u")).select("u.*")
+    counts = rows.groupBy("word").agg(*[F.sum(c).alias(c) for c in ("n", "inner", "marked")])
+    chosen = counts.where((F.col("n") >= LEAST_USES) & (F.col("inner") >= F.col("n") * WITHIN) & (F.col("marked") >= F.col("n") * MARKED))
+    return frozenset(r["word"] for r in chosen.orderBy(F.desc("n"), "word").limit(MOST_WORDS).collect())
 
 
 def keyword_pages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Flagged pages with their measures: ``id_col``, words, repeat, clause, structure, link.
 
-    Every text is judged on its whole, whatever its kind is said to be; equal texts are judged once and all their ids
-    come out. Null, empty and blank texts are never flagged. A repeated id comes out once for each of its texts; a null
-    id is passed on. Extra columns are not read; no rows give no rows.
+    Every text is judged on its whole, whatever its kind is said to be; equal texts of a batch are judged once and all
+    their ids come out. Clause words are learned from ``docs`` first. Null, empty and blank texts are never flagged. A
+    repeated id comes out once for each of its texts; a null id is passed on. Extra columns are not read; no rows give no
+    rows.
     """
     source = docs.select(F.col(id_col).alias("page_id"), F.col(text_col).cast("string").alias("page")).where("trim(page) <> ''")
     kind = source.schema["page_id"].dataType.simpleString()
+    words = docs.sparkSession.sparkContext.broadcast(clause_words(source, "page"))
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -164,7 +268,7 @@ def keyword_pages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             out = []
             for page_id, page in zip(batch["page_id"], batch["page"]):
                 if page not in seen:
-                    seen[page] = measures(page)
+                    seen[page] = measures(page, words.value)
                 if is_keyword_page(seen[page]):
                     out.append({"page_id": page_id} | seen[page])
             yield pd.DataFrame(out, columns=["page_id", "words", "repeat", "clause", "structure", "link"]).astype({"words": "int64"})

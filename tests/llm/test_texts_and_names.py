@@ -1,7 +1,9 @@
+import random
+
 import pytest
 
 from strataloom.llm.generated_files import machine_made, naming_style, templates
-from strataloom.llm.keyword_pages import is_keyword_page, keyword_pages, measures, repeated_spans
+from strataloom.llm.keyword_pages import clause_words, is_keyword_page, keyword_pages, measures, repeated_spans, repeated_spans_by_sorting
 from strataloom.llm.name_links import Given, _edit_one, fold, parse_person, persons, same_person, trie_neighbours
 
 SPAM = [
@@ -22,14 +24,41 @@ TEXT = [
 ]
 
 
+#: Prose in languages that the corpus of the tests doesn't have.
+PROSE = [
+    "Le serveur redémarre chaque nuit parce que la mémoire ne suffit plus. Nous avons déplacé les anciens journaux vers un autre disque, mais la sauvegarde dure toujours trop longtemps. Demain nous essayerons avec une compression plus forte.",
+    "Serwer uruchamia się ponownie każdej nocy, ponieważ brakuje pamięci. Przenieśliśmy stare dzienniki na inny dysk, ale kopia zapasowa wciąż trwa zbyt długo. Jutro spróbujemy użyć mocniejszej kompresji.",
+    "Сервер перезапускается каждую ночь, потому что не хватает памяти. Мы перенесли старые журналы на другой диск, но резервное копирование всё ещё длится слишком долго. Завтра попробуем более сильное сжатие.",
+    "服务器每天晚上都会重新启动，因为内存不足。我们把旧的日志移到了另一个磁盘上，但是备份仍然需要很长时间。明天我们会尝试更强的压缩方法。",
+]
+
+
+@pytest.fixture(scope="module")
+def learned(spark):
+    return clause_words(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
+
+
 @pytest.mark.parametrize("text", SPAM)
-def test_keyword_pages(text):
-    assert is_keyword_page(measures(text)) and is_keyword_page(measures(text.upper()))
+def test_keyword_pages(text, learned):
+    assert is_keyword_page(measures(text, learned)) and is_keyword_page(measures(text.upper(), learned))
 
 
-@pytest.mark.parametrize("text", TEXT)
-def test_other_pages(text):
-    assert not is_keyword_page(measures(text))
+@pytest.mark.parametrize("text", TEXT + PROSE)
+def test_other_pages(text, learned):
+    assert not is_keyword_page(measures(text, learned))
+
+
+@pytest.mark.parametrize("text", SPAM)
+def test_without_repeats_no_page_is_flagged(text, learned):
+    assert not is_keyword_page(measures(text, learned) | {"repeat": 0.0})
+
+
+def test_clause_words_are_learned_not_listed(spark):
+    lines = [f"Jeg tror at {x} ikke er så god som de andre, men den er ny." for x in ("bilen", "katten", "huset", "båten", "boka", "maten") for _ in range(4)]
+    spam = ["billig katt billig hus billig båt " * 20] * 3
+    words = clause_words(spark.createDataFrame([(t,) for t in lines + spam + [None, ""]], "text string"))
+    assert {"ikke", "er", "som", "men"} <= words and not {"billig", "katt"} & words
+    assert clause_words(spark.createDataFrame([], "text string")) == frozenset()
 
 
 @pytest.mark.parametrize("word", ["", "a", "abc", "abcabc", "aaaa", "abxabyab", "mississippi", "abcdabcexyzxyz"])
@@ -40,7 +69,17 @@ def test_repeats_against_brute_force(word, shortest):
         for j in range(i + shortest, len(word) + 1):
             if sum(word.startswith(word[i:j], k) for k in range(len(word))) > 1:
                 covered |= set(range(i, j))
-    assert repeated_spans([ord(c) for c in word], [1] * len(word), shortest) == len(covered)
+    for spans in (repeated_spans, repeated_spans_by_sorting):
+        assert spans([ord(c) for c in word], [1] * len(word), shortest) == len(covered)
+
+
+def test_both_ways_to_repeats_agree():
+    draw = random.Random(3)
+    for _ in range(200):
+        text = [draw.randrange(3) for _ in range(draw.randrange(40))]
+        weights = [draw.randrange(2) for _ in text]
+        assert repeated_spans(text, weights, 3) == repeated_spans_by_sorting(text, weights, 3)
+    assert repeated_spans_by_sorting([1] * 60_000, [1] * 60_000, 4) == 60_000
 
 
 def test_page_table(spark):

@@ -5,8 +5,41 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: The suffixes of source code that are kept.
-CODE_SUFFIXES = [".c", ".cc", ".cpp", ".cs", ".go", ".java", ".js", ".jsx", ".php", ".py", ".rb", ".rs", ".scala", ".ts", ".tsx"]
+#: The suffixes of source code that are kept, in the order of the columns of the summary per repository.
+CODE_SUFFIXES = [".js", ".py", ".c", ".java", ".go", ".ts", ".cpp", ".php", ".rb", ".cs", ".cc", ".rs", ".tsx", ".scala", ".jsx"]
+
+#: The actions that file types stand for, with their encoding; a binary action has files but no lines.
+ACTIONS = {
+    "img": ("binary", ["png", "jpg", "gif", "drawio", "svg"]),
+    "noextbin": ("binary", ["noextbin"]),
+    "c": ("text", ["c", "h"]),
+    "c-plus-plus": ("text", ["cpp", "hpp"]),
+    "clojure": ("text", ["clj"]),
+    "configuration": ("text", ["ini", "cfg", "conf", "in"]),
+    "data": ("text", ["csv"]),
+    "datascience": ("text", ["ipynb"]),
+    "gitignore": ("text", ["gitignore"]),
+    "go": ("text", ["go"]),
+    "interface": ("text", ["html", "css", "scss", "less"]),
+    "javascript": ("text", ["js", "jsx", "ts", "tsx", "vue"]),
+    "json": ("text", ["json"]),
+    "latex": ("text", ["bst", "tex"]),
+    "lock": ("text", ["lock"]),
+    "localization": ("text", ["po"]),
+    "markdown": ("text", ["md"]),
+    "noextext": ("text", ["noextext"]),
+    "pydata": ("text", ["rst"]),
+    "python": ("text", ["py", "pyx"]),
+    "rpm-package": ("text", ["spec"]),
+    "rust": ("text", ["rs", "toml"]),
+    "php": ("text", ["php"]),
+    "shell": ("text", ["sh"]),
+    "solidity": ("text", ["sol"]),
+    "sql": ("text", ["sql"]),
+    "swift": ("text", ["swift"]),
+    "txt": ("text", ["txt"]),
+    "yarn": ("text", ["yml", "yaml"]),
+}
 
 
 def file_extension(path: Column | str) -> Column:

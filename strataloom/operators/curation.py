@@ -23,9 +23,9 @@ def hacker_extension(commits: DataFrame) -> DataFrame:
 
 
 def hacker_extension_monthly(commits: DataFrame) -> DataFrame:
-    """The same per month (UTC, ``yyyy-MM``), for code suffixes only."""
+    """The same per month (its first instant in UTC), for code suffixes only."""
     rows = commits.where("is_binary = 0").withColumn("extension", file_extension("file_path")).where(F.col("extension").isin(CODE_SUFFIXES))
-    return rows.groupBy("author", "extension", F.date_format("commit_date", "yyyy-MM").alias("year_month")).agg(
+    return rows.groupBy("author", "extension", F.date_trunc("MM", "commit_date").alias("year_month")).agg(
         F.sum("total_inserts").alias("total_inserts"), F.sum("total_deletes").alias("total_deletes"), F.countDistinct("commit_date").alias("num_commits"), F.countDistinct("file_path").alias("num_files")
     )
 
@@ -69,7 +69,7 @@ def repo_extension_summary(curated: DataFrame, suffixes: list[str] = CODE_SUFFIX
 
 def extension_windows(monthly: DataFrame) -> DataFrame:
     """Months of an author and extension beside the totals of their year and quarter, with continuous period numbers."""
-    day = F.to_date(F.concat("year_month", F.lit("-01")))
+    day = F.to_date("year_month")
     rows = monthly.select("author", "extension", F.year(day).alias("year"), quarter_of(F.month(day)).alias("quarter"), F.month(day).alias("month"), F.col("num_files").alias("month_files"), F.col("total_inserts").alias("month_lines"))
     year, quarter = Window.partitionBy("author", "extension", "year"), Window.partitionBy("author", "extension", "year", "quarter")
     return rows.select(
@@ -89,5 +89,5 @@ def popular_dependencies(repo_deps: DataFrame, more_than: int) -> DataFrame:
 def files_from_commits(commits: DataFrame) -> DataFrame:
     """Totals per file out of its commits: commits, first and last date, sums, and is_binary of the earliest commit."""
     return commits.groupBy("owner_repo", "file_path").agg(
-        F.countDistinct("commit_id").alias("num_commits"), F.min("commit_date").alias("first_commit_date"), F.max("commit_date").alias("last_commit_date"), F.sum("total_inserts").alias("total_inserts"), F.sum("total_deletes").alias("total_deletes"), F.min("is_binary").alias("is_binary")
+        F.countDistinct("commit_id").alias("num_commits"), F.min("commit_date").alias("first_commit_date"), F.max("commit_date").alias("last_commit_date"), F.sum("total_inserts").alias("total_inserts"), F.sum("total_deletes").alias("total_deletes"), F.min_by("is_binary", F.struct("commit_date", "commit_id", F.coalesce("is_binary", F.lit(-1)))).alias("is_binary")
     )

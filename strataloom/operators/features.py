@@ -69,21 +69,22 @@ def histogram(rows: DataFrame, value: str, bins: int) -> DataFrame:
     return rows.where(F.col(value).isNotNull()).select(at.cast("int").alias("bin")).groupBy("bin").agg(F.count("*").alias("n"))
 
 
-def commit_features(rows: DataFrame, actions: dict[str, list[str]]) -> DataFrame:
-    """Per commit: files in all, text and binary, text lines, and for each action its files, lines and their shares.
+def commit_features(rows: DataFrame, actions: dict[str, tuple[str, list[str]]]) -> DataFrame:
+    """Per commit: files in all, text and binary, text lines, and for each action (encoding, types) its files and their
+    share, of a text action its lines and their share too.
 
     A type is text if lines were inserted or deleted; lines are the inserted ones.
     """
     text = (F.col("inserts") > 0) | (F.col("deletes") > 0)
     files, lines = F.col("occurrences"), F.when(text, F.col("inserts")).otherwise(0)
     sums = [F.sum(files).alias("total_files"), F.sum(F.when(text, files).otherwise(0)).alias("text_files"), F.sum(F.when(~text, files).otherwise(0)).alias("bin_files"), F.sum(lines).alias("text_lines")]
-    for name, types in actions.items():
+    shares = {}
+    for name, (encoding, types) in actions.items():
         own = F.col("type").isin(types)
-        sums += [F.sum(F.when(own, files).otherwise(0)).alias(f"{name}_files"), F.sum(F.when(own, lines).otherwise(0)).alias(f"{name}_lines")]
-    out = rows.groupBy("log_id").agg(*sums)
-    for name in actions:
-        out = out.withColumn(f"{name}_file_pct", percent(F.col(f"{name}_files"), F.col("total_files"))).withColumn(f"{name}_line_pct", percent(F.col(f"{name}_lines"), F.col("text_lines")))
-    return out
+        for unit, value, whole in (("file", files, "total_files"), ("line", lines, "text_lines"))[: 2 if encoding == "text" else 1]:
+            sums.append(F.sum(F.when(own, value).otherwise(0)).alias(f"{name}_{unit}s"))
+            shares[f"{name}_{unit}_pct"] = percent(F.col(f"`{name}_{unit}s`"), F.col(whole))
+    return rows.groupBy("log_id").agg(*sums).withColumns(shares)
 
 
 def log_vectors(features: DataFrame, columns: list[str], id_col: str = "log_id") -> DataFrame:

@@ -16,15 +16,16 @@ from pyspark.sql.window import Window
 from strataloom.session import checkpointed, parallelism
 
 
-def ranged(df: DataFrame, key: str, order: Sequence[str], partitions: int | None = None) -> DataFrame:
-    """``df`` in ranges of (key, order...), heavy keys split across ranges; column ``range_no`` names the range.
+def ranged(df: DataFrame, key: str, order: Sequence[str], partitions: int | None = None, columns: Sequence[str] | None = None) -> DataFrame:
+    """``df``, or its ``columns``, in ranges of (key, order...), heavy keys split across ranges; ``range_no`` names the range.
 
-    Ties beyond ``order`` are spread by a hash of the whole row, so that repeated rows of one key can be split too
-    (only exact repeats of one row stay together).
+    Ties beyond ``order`` are broken by the row's place in the input, a hash of its partition and number there: rows of one
+    key with null or equal order, and exact repeats, are split like any others. The place depends on the row alone for a
+    given input split, so that a task run again deals its rows out alike.
     """
     n = partitions or parallelism(df.sparkSession)
-    spread = F.xxhash64(*[F.col(f"`{c}`") for c, kind in df.dtypes if not kind.startswith("map")])
-    return df.repartitionByRange(n, F.col(key), *[F.col(c) for c in order], spread).withColumn("range_no", F.spark_partition_id())
+    rows = df.select(*[F.col(f"`{c}`") for c in (columns if columns is not None else df.columns)], F.xxhash64(F.monotonically_increasing_id()).alias("_place"))
+    return rows.repartitionByRange(n, F.col(key), *[F.col(c) for c in order], F.col("_place")).drop("_place").withColumn("range_no", F.spark_partition_id())
 
 
 def stitched_totals(df: DataFrame, key: str, order: Sequence[str], values: Sequence[str], partitions: int | None = None) -> DataFrame:
@@ -34,7 +35,7 @@ def stitched_totals(df: DataFrame, key: str, order: Sequence[str], values: Seque
     gives no rows. Only the columns named are read. The states of a range are built map-side right after the range
     partitioning; the exchange that follows carries one row per key and range.
     """
-    rows = ranged(df.select(key, *dict.fromkeys(c for c in (*order, *values) if c != key)), key, order, partitions)
+    rows = ranged(df, key, order, partitions, [key, *dict.fromkeys(c for c in (*order, *values) if c != key)])
     states: list[Column] = [F.count("*").alias("n_rows")]
     merge: list[Column] = [F.sum("n_rows").alias("n_rows")]
     for v in values:

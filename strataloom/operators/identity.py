@@ -16,7 +16,7 @@ def _pairs(authors: DataFrame, on: str, other: str) -> DataFrame:
 
 def alias_pairs(repo_hacker: DataFrame) -> DataFrame:
     """Pairs of authors, both ways, with equal address and different names or the other way round, and in how many
-    repositories the left one is.
+    repositories the right one is.
 
     The pairs are found among distinct authors, so a repository with many rows adds nothing to the self-joins; the
     repositories are counted once per author before they are joined on.
@@ -26,7 +26,7 @@ def alias_pairs(repo_hacker: DataFrame) -> DataFrame:
     authors = repos.select("author", author_name("author").alias("name"), author_email("author").alias("email"))
     by_email = _pairs(authors, "email", "name").withColumns({"name_match": F.lit(0), "email_match": F.lit(1)})
     by_name = _pairs(authors, "name", "email").withColumns({"name_match": F.lit(1), "email_match": F.lit(0)})
-    return by_email.union(by_name).join(repos.withColumnRenamed("author", "left_author"), "left_author").select("left_author", "right_author", "name_match", "email_match", "num_repos")
+    return by_email.union(by_name).join(repos.withColumnRenamed("author", "right_author"), "right_author").select("left_author", "right_author", "name_match", "email_match", "num_repos")
 
 
 def at_risk_aliases(targets: DataFrame, repo_hacker: DataFrame, extension: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 IMPORTS = {
     "java": r"(?m)^\s*import\s+(?:static\s+)?([\w.]+(?:\.\*)?)\s*;",
     "python": r"(?m)^import[ \t]+([A-Za-z_][\w.]*(?:[ \t]*,[ \t]*[A-Za-z_][\w.]*)*)(?:[ \t]+as[ \t]+\w+)?[ \t]*$",
-    "python_from": r"(?m)^from[ \t]+([A-Za-z_.][\w.]*)[ \t]+import[ \t]",
+    "python_from": r"(?m)^from[ \t,]+([\w.]+)[ \t,]+import[ \t]+([\w., \t]+?)(?:[ \t]+as[ \t]+\w+)?[ \t]*(?://[^\n]*)?$",
     "javascript": r"""(?m)^[ \t]*import\b[^'"\n]*['"]([^'"\n]+)['"]""",
     "javascript_require": r"""\brequire\s*\(\s*['"]([^'"\n]+)['"]\s*\)""",
     "scala": r"(?m)^\s*import[ \t]+([^\s{;]+)[^;\n]*$",
@@ -22,8 +22,13 @@ GO_GROUP = r"(?s)\bimport\s*\(([^)]*)\)"
 
 
 def imports(text: Column, language: str) -> Column:
-    """Names that a source text imports, in order, as an array; Go's grouped imports are read too."""
+    """Names that a source text imports, in order, as an array; Go's grouped imports are read too, and members that Python
+    imports from a module come out as module.member, without their new names."""
     found = F.regexp_extract_all(text, F.lit(IMPORTS[language]), F.lit(1))
+    if language == "python_from":
+        members = F.regexp_extract_all(text, F.lit(IMPORTS[language]), F.lit(2))
+        named = F.zip_with(found, members, lambda module, names: F.transform(F.split(names, ","), lambda m: F.concat(module, F.lit("."), F.regexp_replace(F.trim(m), r"[ \t]+as[ \t].*$", ""))))
+        return F.flatten(named)
     if language != "go":
         return found
     groups = F.array_join(F.regexp_extract_all(text, F.lit(GO_GROUP), F.lit(1)), "\n")

@@ -67,7 +67,7 @@ def query(sql: str | None = None):
 _SUMS = "cast(sum(total_inserts) as bigint) as total_inserts, cast(sum(total_deletes) as bigint) as total_deletes"
 _DISTINCT = "count(distinct commit_date) as num_commits, count(distinct file_path) as num_files"
 HACKER_EXTENSION = f"select author, {_EXT} as extension, {_SUMS}, {_DISTINCT} from file_hacker_commit where is_binary = 0 group by 1, 2"
-MONTHLY = f"select author, {_EXT} as extension, strftime(commit_date at time zone 'UTC', '%Y-%m') as year_month, {_SUMS}, {_DISTINCT} from file_hacker_commit where is_binary = 0 and {_EXT} in ({_SUFFIXES}) group by 1, 2, 3"
+MONTHLY = f"select author, {_EXT} as extension, date_trunc('month', commit_date at time zone 'UTC') at time zone 'UTC' as year_month, {_SUMS}, {_DISTINCT} from file_hacker_commit where is_binary = 0 and {_EXT} in ({_SUFFIXES}) group by 1, 2, 3"
 REPO_DEPENDENCY = f"select partition_key, owner, repo_name, owner_repo, {_EXT} as extension, dependency, count(*) as file_count from ({DEPENDENCY}) group by all"
 REPO_EXTENSION = f"select owner, repo_name, {_EXT} as extension, {_SUMS}, count(distinct file_path) as num_files, cast(sum(num_commits) as bigint) as total_commits from repo_file where is_binary = 0 group by 1, 2, 3"
 REPO_HACKER = f"select owner, repo_name, partition_key, owner_repo, author, {_EXT} as extension, count(distinct file_path) as num_files, cast(sum(total_inserts) as bigint) as total_inserts from file_hacker_commit group by 1, 2, 3, 4, 5, 6"
@@ -114,7 +114,7 @@ def repo_extension_summary(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    f"""with m as (select author, extension, cast(left(year_month, 4) as int) as year, cast(right(year_month, 2) as int) as month, num_files as month_files, total_inserts as month_lines from ({MONTHLY})),
+    f"""with m as (select author, extension, cast(year(year_month at time zone 'UTC') as int) as year, cast(month(year_month at time zone 'UTC') as int) as month, num_files as month_files, total_inserts as month_lines from ({MONTHLY})),
 q as (select *, (month + 2) // 3 as quarter from m)
 select *, year as year_ce, quarter + 4 * year as quarter_ce, month + 12 * year as month_ce,
   cast(sum(month_files) over (partition by author, extension, year) as bigint) as year_files, cast(sum(month_files) over (partition by author, extension, year, quarter) as bigint) as qrtr_files,
@@ -129,7 +129,7 @@ def popular_dependencies(spark: SparkSession, d: str) -> DataFrame:
     return curation.popular_dependencies(repo_dependency(spark, d), 5)
 
 
-@query(f"select owner_repo, file_path, count(distinct commit_id) as num_commits, min(commit_date) as first_commit_date, max(commit_date) as last_commit_date, {_SUMS}, min(is_binary) as is_binary from file_hacker_commit group by 1, 2")
+@query(f"select owner_repo, file_path, count(distinct commit_id) as num_commits, min(commit_date) as first_commit_date, max(commit_date) as last_commit_date, {_SUMS}, first(is_binary order by commit_date, commit_id, coalesce(is_binary, -1)) as is_binary from file_hacker_commit group by 1, 2")
 def repo_file_totals(spark: SparkSession, d: str) -> DataFrame:
     return curation.files_from_commits(commits(spark, d))
 
@@ -139,8 +139,8 @@ def repo_file_totals(spark: SparkSession, d: str) -> DataFrame:
 _NAME, _MAIL = "regexp_extract({0}, '(.*) <(.*)>', 1)", "regexp_extract({0}, '(.*) <(.*)>', 2)"
 _AUTHORS = f"select author, {_NAME.format('author')} as name, {_MAIL.format('author')} as email, count(distinct (owner, repo_name)) as num_repos from ({REPO_HACKER}) where author is not null group by 1"
 _ALIASES = f"""with a as ({_AUTHORS})
-select l.author as left_author, r.author as right_author, 0 as name_match, 1 as email_match, l.num_repos from a l join a r on l.email = r.email and l.name <> r.name
-union select l.author, r.author, 1, 0, l.num_repos from a l join a r on l.name = r.name and l.email <> r.email"""
+select l.author as left_author, r.author as right_author, 0 as name_match, 1 as email_match, r.num_repos from a l join a r on l.email = r.email and l.name <> r.name
+union select l.author, r.author, 1, 0, r.num_repos from a l join a r on l.name = r.name and l.email <> r.email"""
 _TARGETS = "select author from file_hacker_commit where author is not null group by 1 having sum(total_inserts) > 200"
 _HASHED = f"""with p as (select author, {_NAME.format('author')} as name, {_MAIL.format('author')} as email from ({_TARGETS})),
 w as (select distinct owner_repo, author from ({REPO_HACKER}) where extension = '.js'),
@@ -224,10 +224,48 @@ def _kind(a: str) -> str:
     return f"(select distinct profile_id, bounty_pk from ({ACTIVITY}) where activity_type = '{a}')"
 
 
-@query(f"select l.profile_id as left_id, r.profile_id as right_id, count(*) as weight from {_kind('worker_paid')} l join {_kind('work_submitted')} r on l.bounty_pk = r.bounty_pk and r.profile_id > l.profile_id group by 1, 2")
-def paid_submit_pairs(spark: SparkSession, d: str) -> DataFrame:
-    rows = activity(spark, d)
-    return graph.sparse_matrix(graph.cross_pairs(rows.where("activity_type = 'worker_paid'"), rows.where("activity_type = 'work_submitted'"), "profile_id", "bounty_pk"))
+def _kind_pairs(kind: str) -> str:
+    return f"select distinct l.profile_id as left_id, l.bounty_pk as shared, r.profile_id as right_id from ({ACTIVITY}) l join ({ACTIVITY}) r on r.bounty_pk = l.bounty_pk and r.profile_id > l.profile_id where l.activity_type = '{kind}' and r.activity_type = '{kind}'"
+
+
+@query(_kind_pairs("worker_paid"))
+def paid_pairs(spark: SparkSession, d: str) -> DataFrame:
+    return graph.ordered_pairs(activity(spark, d).where("activity_type = 'worker_paid'"), "profile_id", "bounty_pk")
+
+
+@query(_kind_pairs("work_submitted"))
+def submit_pairs(spark: SparkSession, d: str) -> DataFrame:
+    return graph.ordered_pairs(activity(spark, d).where("activity_type = 'work_submitted'"), "profile_id", "bounty_pk")
+
+
+_FULFIL = f"(select * from ({ACTIVITY}) where status = 'F')"
+
+
+@query(f"select distinct l.profile_id as left_id, l.bounty_pk as shared, r.profile_id as right_id from {_FULFIL} l join {_FULFIL} r on r.bounty_pk = l.bounty_pk and r.profile_id > l.profile_id")
+def user_fulfil_pairs(spark: SparkSession, d: str) -> DataFrame:
+    return graph.ordered_pairs(activity(spark, d).where("status = 'F'"), "profile_id", "bounty_pk")
+
+
+_BOUNTY_PAIRS = f"select distinct l.bounty_pk as left_id, l.profile_id as shared, r.bounty_pk as right_id from ({ACTIVITY}) l join ({ACTIVITY}) r on r.profile_id = l.profile_id and r.bounty_pk > l.bounty_pk"
+_BOUNTY_MATRIX = f"select left_id, right_id, count(*) as weight from ({_BOUNTY_PAIRS}) group by 1, 2"
+
+
+def bounty_matrix(spark: SparkSession, d: str) -> DataFrame:
+    return graph.sparse_matrix(graph.ordered_pairs(activity(spark, d), "bounty_pk", "profile_id"))
+
+
+@query(f"select count(distinct bounty_pk) as n_bounties from (select left_id as bounty_pk, weight from ({_BOUNTY_MATRIX}) union select right_id, weight from ({_BOUNTY_MATRIX})) where weight > 1")
+def heavy_bounties(spark: SparkSession, d: str) -> DataFrame:
+    """Bounties that share more than one user with some other bounty."""
+    return graph.square_matrix(bounty_matrix(spark, d).where("weight > 1")).agg(F.countDistinct("left_id").alias("n_bounties"))
+
+
+@query(f"select left_id, l.o_orderpriority as left_title, right_id, r.o_orderpriority as right_title from ({_BOUNTY_MATRIX}) s join orders l on l.o_orderkey = s.left_id join orders r on r.o_orderkey = s.right_id where s.weight = 2")
+def bounty_title_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """The titles of each pair of bounties of one weight; the pair itself stays."""
+    title = bounties(spark, d)
+    left, right = title.select(F.col("pk").alias("left_id"), F.col("title").alias("left_title")), title.select(F.col("pk").alias("right_id"), F.col("title").alias("right_title"))
+    return bounty_matrix(spark, d).where("weight = 2").join(left, "left_id").join(right, "right_id").select("left_id", "left_title", "right_id", "right_title")
 
 
 @query(
@@ -276,6 +314,20 @@ def graph_density(spark: SparkSession, d: str) -> DataFrame:
     return graph.density(graph.network(user_matrix(spark, d), 1))
 
 
+def _density_at(w: int) -> str:
+    net = f"(select left_id, right_id from ({_MATRIX}) where weight >= {w})"
+    nodes = f"(select count(*) from (select left_id from {net} union select right_id from {net}))"
+    return f"select {w} as least_weight, {nodes} as n_nodes, (select count(*) from {net}) as n_edges, round(2 * (select count(*) from {net}) / ({nodes} * ({nodes} - 1)), 6) as density"
+
+
+@query(" union all ".join(_density_at(w) for w in (1, 2, 3)))
+def density_by_weight(spark: SparkSession, d: str) -> DataFrame:
+    """Nodes, edges and density of the networks of pairs with at least 1, 2 and 3 shared bounties."""
+    matrix = user_matrix(spark, d)
+    parts = [graph.density(graph.network(matrix, w)).select(F.lit(w).alias("least_weight"), "n_nodes", "n_edges", "density") for w in (1, 2, 3)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query(f"with net as ({_NET}) select node, round(degree / ((select count(*) from {_DEGREE}) - 1), 6) as centrality from {_DEGREE}")
 def degree_centrality(spark: SparkSession, d: str) -> DataFrame:
     return graph.degree_centrality(graph.network(user_matrix(spark, d), 1))
@@ -286,9 +338,10 @@ def assortativity(spark: SparkSession, d: str) -> DataFrame:
     return graph.assortativity(graph.network(user_matrix(spark, d), 1))
 
 
-@query(f"select count(distinct left_id) as n_users from ({_MATRIX}) where weight > 1")
+@query(f"select count(distinct profile_id) as n_users from (select left_id as profile_id, weight from ({_MATRIX}) union select right_id, weight from ({_MATRIX})) where weight > 2")
 def heavy_users(spark: SparkSession, d: str) -> DataFrame:
-    return user_matrix(spark, d).where("weight > 1").agg(F.countDistinct("left_id").alias("n_users"))
+    """Users that share more than two bounties with some other user, on either side."""
+    return graph.square_matrix(user_matrix(spark, d).where("weight > 2")).agg(F.countDistinct("left_id").alias("n_users"))
 
 
 # ---- operational selections and merges --------------------------------------------------------------------------
@@ -450,7 +503,6 @@ from (select log_id, unnest(map_keys(f)) as type, unnest(map_values(f)) as v fro
 _POPULAR = f"select type, count(*) as n_commits, cast(sum(inserts) as bigint) as inserts, cast(sum(occurrences) as bigint) as occurrences from ({_TYPE_ROWS}) group by 1"
 TYPES = ["css", "go", "html", "java", "js", "json", "md", "py", "rs", "toml", "ts", "yml"]
 _WIDE = f"select log_id, {', '.join(f"cast(coalesce(sum(inserts) filter (where type = '{t}'), 0) as bigint) as {t}" for t in TYPES)} from ({_TYPE_ROWS}) group by 1"
-ACTIONS = {"code": ["c", "go", "h", "java", "js", "py", "rs", "sh", "sol", "ts"], "docs": ["html", "md", "txt"], "settings": ["json", "lock", "toml", "yml"]}
 
 
 def types(spark: SparkSession, d: str) -> DataFrame:
@@ -502,18 +554,21 @@ def _percent(a: str, b: str) -> str:
     return f"case when {a} = 0 then 0.0 when {b} = 0 then 100.0 else floor(cast({a} as double) * 10000 / {b}) / 100 end"
 
 
-_ACTION_SUMS = ", ".join(
-    f"cast(sum(case when type in ({', '.join(repr(x) for x in ts)}) then occurrences else 0 end) as bigint) as {a}_files, cast(sum(case when type in ({', '.join(repr(x) for x in ts)}) and (inserts > 0 or deletes > 0) then inserts else 0 end) as bigint) as {a}_lines" for a, ts in ACTIONS.items()
-)
+def _of(types: list[str], value: str) -> str:
+    return f"cast(sum(case when type in ({', '.join(repr(x) for x in types)}) then {value} else 0 end) as bigint)"
+
+
+_ACTION_SUMS = ", ".join(f'{_of(ts, "occurrences")} as "{a}_files"' + (f', {_of(ts, "inserts")} as "{a}_lines"' if kind == "text" else "") for a, (kind, ts) in exprs.ACTIONS.items())
+_ACTION_SHARES = ", ".join(_percent(f'"{a}_files"', "total_files") + f' as "{a}_file_pct"' + (", " + _percent(f'"{a}_lines"', "text_lines") + f' as "{a}_line_pct"' if kind == "text" else "") for a, (kind, _) in exprs.ACTIONS.items())
 
 
 @query(
     f"""with s as (select log_id, cast(sum(occurrences) as bigint) as total_files, cast(sum(case when inserts > 0 or deletes > 0 then occurrences else 0 end) as bigint) as text_files,
   cast(sum(case when inserts > 0 or deletes > 0 then 0 else occurrences end) as bigint) as bin_files, cast(sum(case when inserts > 0 or deletes > 0 then inserts else 0 end) as bigint) as text_lines, {_ACTION_SUMS} from ({_TYPE_ROWS}) group by 1)
-select *, {", ".join(f"{_percent(a + '_files', 'total_files')} as {a}_file_pct, {_percent(a + '_lines', 'text_lines')} as {a}_line_pct" for a in ACTIONS)} from s"""
+select *, {_ACTION_SHARES} from s"""
 )
 def commit_features(spark: SparkSession, d: str) -> DataFrame:
-    return features.commit_features(types(spark, d), ACTIONS)
+    return features.commit_features(types(spark, d), exprs.ACTIONS)
 
 
 @query(
@@ -535,8 +590,8 @@ def _vectors(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def cluster_medians(spark: SparkSession, d: str) -> DataFrame:
     rows = commit_features(spark, d)
-    wide = features.log_vectors(rows, ["total_files", "text_lines", "code_lines", "docs_lines"]).join(rows, "log_id")
-    return features.cluster_medians(features.clusters(wide, 8), ["total_files", "text_lines", "code_lines", "docs_lines"])
+    wide = features.log_vectors(rows, ["total_files", "text_lines", "javascript_lines", "markdown_lines"]).join(rows, "log_id")
+    return features.cluster_medians(features.clusters(wide, 8), ["total_files", "text_lines", "javascript_lines", "markdown_lines"])
 
 
 @query()

@@ -9,6 +9,9 @@ from strataloom.functions.exprs import CODE_SUFFIXES, file_extension, partition_
 from strataloom.operators.oltp import replace_by_key
 
 MOST_FILES = 1000
+#: Folders are pruned by value up to so many touched partitions; a partition of more rows than this is written by several
+#: tasks if it also has more than its share, so that at most as many partitions as tasks are split.
+PRUNED_UP_TO, ROWS_A_TASK = 256, 100_000
 
 
 def register(spark: SparkSession, root: str, tier: str, name: str) -> DataFrame:
@@ -24,7 +27,7 @@ def file_hacker(commits: DataFrame) -> DataFrame:
     rows = commits.where(F.size("file_list") <= MOST_FILES).select("owner", "repo_name", "author", "commit_id", F.col("date").alias("commit_date"), F.explode("file_list").alias("file_path", "f"))
     rows = rows.where(file_extension("file_path").isin(CODE_SUFFIXES))
     keys = ["owner", "repo_name", "file_path", "author", "commit_id", "commit_date"]
-    out = rows.groupBy(*keys).agg(F.sum("f.inserts").alias("total_inserts"), F.sum("f.deletes").alias("total_deletes"), F.min("f.binary").cast("tinyint").alias("is_binary"))
+    out = rows.groupBy(*keys).agg(F.sum("f.inserts").alias("total_inserts"), F.sum("f.deletes").alias("total_deletes"), F.first("f.binary").cast("tinyint").alias("is_binary"))
     return with_keys(out)
 
 
@@ -64,12 +67,27 @@ def overwrite(df: DataFrame, path: str, files: int | None = None) -> None:
 def merge_partitions(spark: SparkSession, fresh: DataFrame, path: str, key: str = "owner_repo", partition: str = "partition_key") -> None:
     """Replaces the rows of the batch's keys in a table partitioned by ``partition``.
 
-    Only the partitions that the batch touches are read (pruned by its distinct partition values, at most 256) and
-    written (dynamic overwrite), from a checkpoint, so that nothing is deleted before its replacement is safe.
+    Only the partitions that the batch touches are kept of the existing rows, by a null-safe semi-join with its distinct
+    partition values, however many there are; where they are few the values also prune the folders that are read. These
+    partitions are written anew (dynamic overwrite) from a checkpoint, so that nothing is deleted before its replacement
+    is safe. A null partition is one of its own. A partition of many rows is written by several tasks.
     """
-    from strataloom.session import checkpointed
-
-    touched = [r[0] for r in fresh.select(partition).distinct().limit(257).collect()]
-    existing = spark.read.schema(fresh.schema).parquet(path).where(F.col(partition).isin(touched))
+    from strataloom.session import checkpointed, parallelism
+
+    fresh = checkpointed(fresh)
+    touched = fresh.select(F.col(partition).alias("_touched")).distinct()
+    existing = spark.read.schema(fresh.schema).parquet(path)
+    few = [r[0] for r in touched.limit(PRUNED_UP_TO + 1).collect()]
+    if len(few) <= PRUNED_UP_TO:
+        values = [v for v in few if v is not None]
+        existing = existing.where(F.col(partition).isin(values) | F.col(partition).isNull() if None in few else F.col(partition).isin(values))
+    existing = existing.join(touched, existing[partition].eqNullSafe(touched["_touched"]), "left_semi")
     merged = checkpointed(replace_by_key(existing, fresh, key))
-    merged.repartition(F.col(partition)).sortWithinPartitions(partition, key).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    tasks = parallelism(spark)
+    salt = F.pmod(F.xxhash64(key), F.lit(tasks)).cast("int")
+    sizes = merged.groupBy(F.col(partition).alias("_p")).count()
+    mean = merged.count() / tasks
+    large = F.broadcast(sizes.where(F.col("count") > max(ROWS_A_TASK, mean)).select("_p", F.lit(True).alias("_large")))
+    dealt = merged.join(large, merged[partition].eqNullSafe(F.col("_p")), "left").withColumn("_salt", F.when(F.col("_large"), salt).otherwise(F.lit(0)))
+    # a stated number of partitions, which aren't merged again
+    dealt.repartition(tasks, F.col(partition), F.col("_salt")).drop("_p", "_large", "_salt").sortWithinPartitions(partition, key).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)

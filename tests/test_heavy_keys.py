@@ -33,3 +33,13 @@ def test_running_sums_are_stitched(spark):
 def test_heavy_values_count_nulls_in_the_total(spark):
     df = spark.createDataFrame([("a",)] * 4 + [("b",)] * 3 + [(None,)] * 93, "key string")
     assert [r[0] for r in heavy_values(stitched_totals(df, "key", [], []), "key").collect()] == ["a"]
+
+
+def test_one_key_with_null_or_no_order_is_split_evenly(spark):
+    # repeated rows of one key, without any date to order by
+    df = spark.range(0, 40_000, 1, 5).select(F.lit("hot").alias("key"), F.lit(None).cast("timestamp").alias("at"), F.lit(1).alias("v"))
+    for order in (["at"], []):
+        sizes = [r["count"] for r in ranged(df, "key", order, 8, ["key", *order]).groupBy("range_no").count().collect()]
+        assert len(sizes) == 8 and max(sizes) <= 2 * 40_000 / 8
+    assert [tuple(r) for r in stitched_totals(df, "key", ["at"], ["v"], 8).collect()] == [("hot", 40_000, 40_000, 40_000)]
+    assert {r["seq_no"] for r in stitched_running(df, "key", ["at"], "v", 8).collect()} == set(range(1, 40_001))

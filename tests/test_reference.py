@@ -25,7 +25,7 @@ def test_percent_is_cut(spark):
 
 
 def test_window_totals_and_periods(spark):
-    rows = spark.createDataFrame([("a", ".py", "2020-01", 1, 10), ("a", ".py", "2020-03", 2, 20), ("a", ".py", "2020-04", 4, 40)], "author string, extension string, year_month string, num_files long, total_inserts long")
+    rows = spark.createDataFrame([("a", ".py", t(2020, 1, 1), 1, 10), ("a", ".py", t(2020, 3, 1), 2, 20), ("a", ".py", t(2020, 4, 1), 4, 40)], "author string, extension string, year_month timestamp, num_files long, total_inserts long")
     got = {r["month"]: (r["year_files"], r["qrtr_files"], r["quarter_ce"], r["month_ce"]) for r in curation.extension_windows(rows).collect()}
     assert got == {1: (7, 3, 8081, 24241), 3: (7, 3, 8081, 24243), 4: (7, 4, 8082, 24244)}
 
@@ -105,6 +105,35 @@ def test_ingest_and_merge(spark, tmp_path):
     assert spark.read.parquet(target).count() == 2
 
 
+def keyed(spark, rows):
+    return spark.createDataFrame(rows, "owner_repo string, v long, partition_key string")
+
+
+def merged(spark, path, old, new):
+    keyed(spark, old).write.partitionBy("partition_key").parquet(path)
+    ingest.merge_partitions(spark, keyed(spark, new), path)
+    return sorted((r["owner_repo"], r["v"], r["partition_key"] or "") for r in spark.read.parquet(path).collect())
+
+
+def test_merge_into_many_partitions_keeps_every_row(spark, tmp_path):
+    old = [(f"old{i}", i, f"p{i:03}") for i in range(300)]
+    new = [(f"new{i}", i, f"p{i:03}") for i in range(300)]
+    assert merged(spark, str(tmp_path / "t"), old, new) == sorted(old + new)
+
+
+def test_merge_into_the_null_partition_keeps_its_rows(spark, tmp_path):
+    old = [("a", 1, None), ("b", 2, None), ("c", 3, "p")]
+    assert merged(spark, str(tmp_path / "t"), old, [("b", 9, None), ("d", 4, None)]) == [("a", 1, ""), ("b", 9, ""), ("c", 3, "p"), ("d", 4, "")]
+
+
+def test_a_hot_partition_is_written_by_several_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ingest, "ROWS_A_TASK", 100)
+    path = str(tmp_path / "t")
+    new = [(f"k{i}", i, "hot") for i in range(2000)] + [("x", 1, "cold")]
+    assert merged(spark, path, [("k1", -1, "hot"), ("y", 2, "cold")], new) == sorted(new + [("y", 2, "cold")])
+    assert len(list((tmp_path / "t" / "partition_key=hot").glob("*.parquet"))) > 1
+
+
 def test_dependencies_and_listings(spark):
     maps = spark.createDataFrame([("o", "r", {"a.py": ["x", "x", "y\tz"], "b.py": []})], "owner string, repo_name string, deps map<string,array<string>>")
     assert [(r["file_path"], r["dependency"]) for r in ingest.dependency_rows(maps).collect()] == [("a.py", "x")]
@@ -115,7 +144,7 @@ def test_dependencies_and_listings(spark):
 SOURCES = {
     "java": ("import a.b.C;\nimport static d.E.*;\n// import no", ["a.b.C", "d.E.*"]),
     "python": ("import os\nimport a, b\n  import no\nimport x as y", ["os", "a, b", "x"]),
-    "python_from": ("from a.b import c, d\n from no import e", ["a.b"]),
+    "python_from": ("from a.b import c, d\n from no import e\nfrom os import path, sep as s\nfrom . import x\nfrom m import n as k", ["a.b.c", "a.b.d", "os.path", "os.sep", "..x", "m.n"]),
     "javascript": ("import {a} from 'b';\nimport 'c'\nlet x = 1", ["b", "c"]),
     "javascript_require": ("const a = require('b'); require (\"c\"); require(['no'])", ["b", "c"]),
     "go": ('import "fmt"\nimport (\n  "os"\n  x "a/b"\n)', ["fmt", "os", "a/b"]),

@@ -5,12 +5,15 @@ about its name, and gives weak labels: text that only grows was copied in, large
 tool, a few lines per commit are minified lines, binary content is data. Over the identifiers of paths are learned, by
 counting in Spark,
 
-* a character trigram model of hand-written names per language; its cross-entropy tells mangled names,
+* a character trigram model of the pieces of hand-written names per language; the cross-entropy of a file's worst piece
+  tells mangled names,
 * how each identifier template (directories, masked name parts, affixes) behaves; a template that recurs with one
   behaviour, so with low diversity, is a marker of that behaviour,
 * the prevailing naming style of each repository; a foreign style, and names that repeat their package, are templates
   too, and mark vendored copies.
 
+No mark is listed: all are learned from the tables, so that a mark in fewer than some dozen files isn't known. Content
+that is binary, or that came in one way in more lines than the rewritten files' sizes allow for, is data whatever its name.
 Trigrams and templates are counted by hashes of 60 bits, so that different ones don't share a count. Of the templates
 only those that can decide about a file, by support and share, reach the driver and are broadcast.
 """
@@ -31,18 +34,13 @@ from strataloom.session import checkpointed, spread
 
 #: Weak labels, by the way a file was committed.
 HAND, GENERATED, COPIED, MINIFIED, DATA = range(5)
-LARGE, GROWN, ONE_WAY, FEW_LINES = 600, 100, 5000, 8
+LARGE, GROWN, FEW_LINES = 600, 100, 8
+#: Content that came in one way is data from so many standard deviations (of logarithms) above the median of rewritten files on.
+BULK_DEVIATIONS = 4.0
 #: A template marks by itself from the first share on, or from the second one among files that no clear template marks;
 #: from the third one, of its own behaviour among those files, if the file behaves alike and isn't just small. Then: the
 #: least files behind a template, files that stand for the prior, and standard errors that a share is lowered by.
-CLEAR, STRONG, FAIR, SUPPORT, PRIOR, DOUBT = 0.88, 0.75, 0.3, 8, 4.0, 2.0
-#: Well-known marks of generated, minified, vendored and data files, as templates with their behaviour.
-KNOWN = {
-    COPIED: "d:node_modules d:bower_components d:vendor d:third_party d:thirdparty d:3rdparty d:external d:extern d:godeps d:_workspace d:pods d:deps d:site-packages d:bundled d:contrib".split(),
-    GENERATED: "d:generated d:__generated__ d:generated-sources d:autogen d:gen t:pb9 t:pb t:designer t:generated t:antlr9 f:moc_ f:qrc_ f:zz_ b:r.java b:bindata.go b:lex.yy.c b:wire_gen.go l:_wrap.cpp l:_string.go l:.g.cs l:.gen.rs l:.tab.c l:_gen.go f:ui_.py".split(),
-    MINIFIED: "t:min t:umd t:chunk t:pack t:compressed x:.bundle.js b:bundle.js w:W-H.js w:W.H.js w:W~main.H.js w:W-9.9.9.js d:chunks".split(),
-    DATA: "b:segment9 d:firmware d:videos d:media".split(),
-}
+CLEAR, STRONG, FAIR, SUPPORT, PRIOR, DOUBT = 0.88, 0.75, 0.3, 8, 2.0, 2.0
 _SPLIT = re.compile(r"[/\\]+")
 _HEX = re.compile(r"(?<![a-z0-9])(?=[a-f]*\d)[0-9a-f]{6,}(?![a-z0-9])")
 
@@ -96,21 +94,27 @@ def parts_of(path: str) -> tuple[list[str], str, str, str]:
     return [f.lower() for f in folders if f], lowered, stem, lowered.rpartition(".")[2] if "." in lowered else ""
 
 
-def name_grams(stem: str, language: str) -> Iterator[tuple[int, int]]:
-    """Keys of the (trigram, its two-character context) pairs of a name in a language."""
-    padded = f"^^{stem.lower()}$"
+def pieces_of(name: str) -> list[str]:
+    """Pieces of a name as spelled, in lower case, without its last suffix: between marks and at a capital after a small letter."""
+    own = name.rpartition(".")[0] if "." in name else name
+    return [x.lower() for x in re.split(r"[._~-]|(?<=[a-z])(?=[A-Z])", own) if x]
+
+
+def name_grams(piece: str, language: str) -> Iterator[tuple[int, int]]:
+    """Keys of the (trigram, its two-character context) pairs of a piece of a name in a language."""
+    padded = f"^^{piece}$"
     for i in range(2, len(padded)):
         yield key_of(f"{language}|{padded[i - 2 : i + 1]}"), key_of(f"{language}|{padded[i - 2 : i]}|")
 
 
-def templates(path: str, style: str | None, entropy: float) -> set[str]:
-    """Identifier templates of a path: hex runs are H, numbers 9, a leading word W."""
+def templates(path: str, style: str | None, entropy: float, length: int = 0) -> set[str]:
+    """Identifier templates of a path: hex runs are H, numbers 9; its naming style and its cross-entropy are templates too."""
     folders, name, stem, language = parts_of(path)
     masked = re.sub(r"\d+", "9", _HEX.sub("H", name))
     pieces = re.split(r"[._~-]", masked)
     found = {f"d:{'@' if f.startswith('@') else f}" for f in folders}
     found |= {f"t:{p}" for p in pieces[:-1]}
-    found |= {f"b:{masked}", f"b:{masked.rpartition('.')[0]}", f"w:{re.sub(r'^[a-z]+', 'W', masked)}", f"x:.{masked.partition('.')[2]}"}
+    found |= {f"b:{masked}", f"b:{masked.rpartition('.')[0]}", f"x:.{masked.partition('.')[2]}"}
     if (head := re.match(r"[a-z0-9]+[_~-]", masked)) is not None:
         found |= {f"f:{head.group()}", f"f:{head.group()}.{language}"}
     if (tail := re.search(r"[._~-][a-z0-9]+\.[a-z0-9]+$", masked)) is not None:
@@ -120,15 +124,23 @@ def templates(path: str, style: str | None, entropy: float) -> set[str]:
     own = naming_style(stem)
     if style and own != style:
         found.add(f"foreign:{own}:{style}:{language}:{'/'.join(folders[:1])}")
-    found.add(f"entropy:{language}:{min(20, int(entropy * 2))}:{min(4, len(stem) // 5)}")
+    found.add(f"entropy:{language}:{min(20, int(entropy * 2))}:{min(4, length // 4)}")
     return found
 
 
-def cross_entropy(stem: str, language: str, grams: Table) -> float:
-    """Bits per character of a name under the hand-written names of its language."""
-    pairs = list(name_grams(stem, language))
-    counts = grams.of([x for pair in pairs for x in pair])[0].tolist()
-    return sum(-math.log2((a + 0.05) / (b + 2.0)) for a, b in zip(counts[::2], counts[1::2])) / len(pairs)
+def cross_entropy(pieces: list[str], language: str, grams: Table) -> tuple[float, int]:
+    """Bits per character of the worst piece of a name under the hand-written names of its language, and its length."""
+    pairs = [list(name_grams(piece, language)) for piece in pieces]
+    if not pairs:
+        return 0.0, 0
+    counts = grams.of([x for piece in pairs for pair in piece for x in pair])[0].tolist()
+    bits, at = [], 0
+    for piece in pairs:
+        end = at + 2 * len(piece)
+        bits.append(sum(-math.log2((a + 0.05) / (b + 2.0)) for a, b in zip(counts[at:end:2], counts[at + 1 : end : 2])) / len(piece))
+        at = end
+    worst = max(range(len(bits)), key=bits.__getitem__)
+    return bits[worst], len(pieces[worst])
 
 
 def _counted(keys: list[int]) -> pd.DataFrame:
@@ -151,13 +163,20 @@ def source_files(totals: DataFrame, commits: DataFrame) -> DataFrame:
     return both.groupBy("repo", "path").agg(*[F.max(c).cast("bigint").alias(c) for c in ("commits", "inserts", "deletes", "is_binary")])
 
 
+def _first(share: np.ndarray, texts: list[str], least: float) -> int:
+    """The template that decides: of those with a sufficient share the cross-entropy, then a foreign style, then the one of
+    the greatest share; without any the one of the greatest share."""
+    order = [i for prefix in ("entropy:", "foreign:", "own:") for i, t in enumerate(texts) if t.startswith(prefix) and share[i] >= least]
+    return order[0] if order else int(share.argmax())
+
+
 def _plain(value):
     return None if value is None or value != value else int(value)
 
 
 def machine_made(totals: DataFrame, commits: DataFrame) -> DataFrame:
-    """Files that no one wrote by hand for the repository: owner_repo, file_path (as stored), mark,
-    template, share.
+    """Files that no one wrote by hand for the repository: owner_repo, file_path (as stored), mark, the template that
+    decides, and its share.
 
     ``totals`` has the columns of repo_file, ``commits`` those of file_hacker_commit; other columns aren't read. Null
     counts leave the decision to the name; null is_binary counts as text. Empty tables give no rows. ``mark`` is the
@@ -178,18 +197,19 @@ def machine_made(totals: DataFrame, commits: DataFrame) -> DataFrame:
             out: list[int] = []
             for path, n, i, d, b in zip(*(batch[c] for c in ("path", "commits", "inserts", "deletes", "is_binary"))):
                 if behaviour(_plain(n), _plain(i), _plain(d), _plain(b)) == HAND:
-                    _, _, stem, language = parts_of(path)
-                    for pair in name_grams(stem, language):
-                        out.extend(pair)
+                    language = parts_of(path)[3]
+                    for piece in pieces_of(_SPLIT.split(path)[-1]):
+                        for pair in name_grams(piece, language):
+                            out.extend(pair)
             yield _counted(out)
 
     known_grams = files.mapInPandas(grams, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
-    names = sc.broadcast(Table(known_grams["key"].to_numpy(), known_grams["n"].to_numpy().astype(np.float32)))
+    names = sc.broadcast(Table(known_grams["key"].to_numpy(), known_grams["n"].to_numpy().astype(np.float64)))
 
     def templates_of(batch: pd.DataFrame) -> Iterator[tuple[dict[int, str], int | None, tuple]]:
         for repo, path, n, i, d, b, style in zip(*(batch[c] for c in ("repo", "path", "commits", "inserts", "deletes", "is_binary", "style"))):
-            _, _, stem, language = parts_of(path)
-            texts = sorted(templates(path, style, cross_entropy(stem, language, names.value)))
+            bits, length = cross_entropy(pieces_of(_SPLIT.split(path)[-1]), parts_of(path)[3], names.value)
+            texts = sorted(templates(path, style, bits, length))
             own = [key_of(t) for t in texts]
             yield dict(zip(own, texts)), behaviour(_plain(n), _plain(i), _plain(d), _plain(b)), (repo, path, _plain(i), _plain(d), _plain(b))
 
@@ -219,25 +239,17 @@ def machine_made(totals: DataFrame, commits: DataFrame) -> DataFrame:
             share = (F.col(part) + PRIOR * prior) / (F.col("total") + PRIOR)
             return share - DOUBT * F.sqrt(F.greatest(share * (1 - share), F.lit(0.01)) / (F.col("total") + PRIOR))
 
-        # known marks count without support, absent ones too
-        marks = {key_of(m): k for k, texts in KNOWN.items() for m in texts}
-        own = table.where(F.col("template").isin(list(marks))).withColumns({"share": F.lit(0.0), "most": F.when(F.col("total") >= SUPPORT, lower("top", 0.0)).otherwise(0.0)})
-        rows = {r["template"]: r for r in own.collect()}
-        deciding = table.where((F.col("total") >= SUPPORT) & ~F.col("template").isin(list(marks))).withColumns({"share": lower("other", base), "most": lower("top", 0.0)})
+        deciding = table.where(F.col("total") >= SUPPORT).withColumns({"share": lower("other", base), "most": lower("top", 0.0)})
         found = deciding.where((F.col("share") >= STRONG) | (F.col("most") >= FAIR)).select("template", "share", "most", "kind").toArrow()
-        keys, share, most, kind = ([*found[c].to_pylist()] for c in ("template", "share", "most", "kind"))
-        for m, k in marks.items():
-            r = rows.get(m)
-            other, total = (r["other"], r["total"]) if r else (0, 0)
-            keys.append(m)
-            share.append((other + 2 * PRIOR) / (total + 2 * PRIOR))
-            most.append(r["most"] if r else 0.0)
-            kind.append(r["kind"] if r and total >= SUPPORT else k)
-        return Table(np.array(keys, dtype=np.int64), np.array(share, dtype=np.float32), np.array(most, dtype=np.float32), np.array(kind, dtype=np.int8))
+        figures = [found[c].to_numpy().astype(kind) for c, kind in (("share", np.float64), ("most", np.float64), ("kind", np.int8))]
+        return Table(found["template"].to_numpy().astype(np.int64), *figures)
 
     clear = learn(None)
     models = sc.broadcast((clear, learn(clear)))
     kinds = ["hand", "generated", "vendored", "minified", "data"]
+    size = F.percentile_approx(F.log1p("inserts"), [0.5, 0.8413])
+    middle, upper = files.where("deletes > 0 and inserts >= 0").agg(size).first()[0] or (math.inf, math.inf)
+    bulk = math.expm1(min(700.0, middle + BULK_DEVIATIONS * (upper - middle))) if middle < math.inf else math.inf
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         first, after = models.value
@@ -247,14 +259,14 @@ def machine_made(totals: DataFrame, commits: DataFrame) -> DataFrame:
                 texts = list(own.values())
                 share, _, kind = first.of(list(own))
                 rest, rest_most, rest_kind = after.of(list(own))
-                best, second, alike = (int(x.argmax()) for x in (share, rest, rest_most))
+                best, second, alike = _first(share, texts, CLEAR), _first(rest, texts, STRONG), _first(rest_most, texts, FAIR)
                 if share[best] >= CLEAR:
                     out.append((repo, path, kinds[kind[best]], texts[best], float(share[best])))
                 elif rest[second] >= STRONG:
                     out.append((repo, path, kinds[rest_kind[second]], texts[second], float(rest[second])))
                 elif rest_most[alike] >= FAIR and label == rest_kind[alike] != MINIFIED:
                     out.append((repo, path, kinds[label], texts[alike], float(rest_most[alike])))
-                elif binary == 1 or (deletes == 0 and (inserts or 0) >= ONE_WAY):
+                elif binary == 1 or (deletes == 0 and (inserts or 0) >= bulk):
                     out.append((repo, path, "data", "", 1.0))
             yield pd.DataFrame(out, columns=["owner_repo", "file_path", "mark", "template", "share"])
 

@@ -1,8 +1,10 @@
 import random
+from collections import Counter
 
+import numpy as np
 import pytest
 
-from strataloom.llm.generated_files import machine_made, naming_style, templates
+from strataloom.llm.generated_files import Table, cross_entropy, machine_made, name_grams, naming_style, pieces_of, templates
 from strataloom.llm.keyword_pages import clause_words, is_keyword_page, keyword_pages, measures, repeated_spans, repeated_spans_by_sorting
 from strataloom.llm.name_links import Given, _edit_one, fold, parse_person, persons, same_person, trie_neighbours
 
@@ -127,16 +129,33 @@ def test_folding():
 
 def test_file_templates():
     assert {"d:node_modules", "b:index.js"} <= templates("a/node_modules/index.js", None, 1.0)
-    assert "w:W.H.js" in templates("public/app.9c426eb0.js", "snake", 3.0)
+    assert {"x:.H.js", "t:app"} <= templates("public/app.9c426eb0.js", "snake", 3.0)
     assert [naming_style(x) for x in ("a_b", "a-b", "AbC", "aB", "ab", "a.b!")] == ["snake", "kebab", "pascal", "camel", "flat", "other"]
+    assert pieces_of("OakHub.min.4.js") == ["oak", "hub", "min", "4"] and pieces_of("Makefile") == ["makefile"] and pieces_of(".js") == []
+
+
+def test_mangled_names_have_a_high_cross_entropy():
+    counts = Counter(key for name in ("parser", "server", "cursor", "loader", "session") * 20 for pair in name_grams(name, "js") for key in pair)
+    grams = Table(np.array(list(counts), dtype=np.int64), np.array(list(counts.values()), dtype=np.float64))
+    known, worst = cross_entropy(["server", "parser"], "js", grams), cross_entropy(["server", "9c426eb0"], "js", grams)
+    assert known[0] < 1 < 3 < worst[0] and worst[1] == 8
+    assert cross_entropy([], "js", grams) == (0.0, 0)
 
 
 def test_machine_made_files(spark):
     totals = "owner string, repo_name string, owner_repo string, file_path string, num_commits long, total_inserts long, total_deletes long, is_binary byte"
     commits = "owner string, repo_name string, owner_repo string, file_path string, commit_id string, total_inserts long, total_deletes long, is_binary byte"
-    files = [("o", "r", "o/r", p, n, i, d, b) for p, n, i, d, b in (("web/node_modules/oak/oak.js", 1, 900, 0, 0), ("api/x_pb2.py", 3, 4000, 2000, 0), ("js/a.min.js", 4, 12, 9, 0), ("src/blob.c", 1, 0, 0, 1), ("src/big.py", 1, 90000, 0, 0), ("src/walk.py", 5, 120, 40, 0), ("src/vendor_page.py", 5, 120, 40, None), ("src\\gen\\X.cs", 2, None, None, 0), (None, 1, 1, 1, 0))]
-    t = spark.createDataFrame(files, totals)
-    c = spark.createDataFrame([("o", "r", None, "lib/vendor/z.go", "c1", 300, 0, None), ("o", "r", None, "lib/vendor/z.go", "c1", 300, 0, None), ("o", "r", "o/r", "src/walk.py", "c2", 3, 1, 0)], commits)
-    got = {r["file_path"] for r in machine_made(t, c).collect()}
-    assert got == {"web/node_modules/oak/oak.js", "api/x_pb2.py", "js/a.min.js", "src/blob.c", "src/big.py", "src\\gen\\X.cs", "lib/vendor/z.go"}
+    words = [a + b for a in ("oak", "map", "log", "rpc", "sdk", "dns", "hub", "kit") for b in ("er", "let", "ling", "ing", "s", "box", "way", "core")]
+    files = [(f"src/{w}/{v}_{w}.py", 5, 120, 40, 0) for w, v in zip(words, words[5:] + words[:5])] + [(f"lib/{w}_{v}.js", 6, 90 + i, 30, 0) for i, (w, v) in enumerate(zip(words, words[::-1]))]
+    files += [x for w in words for x in ((f"web/node_modules/{w}/{w}.js", 1, 900, 0, 0), (f"api/{w}_pb2.py", 3, 4000, 2000, 0), (f"js/{w}.min.js", 4, 12, 9, 0))]
+    marked = [("web/node_modules/new/new.js", None, None, None, None), ("api/new_pb2.py", None, None, None, 0), ("js/new.min.js", 4, None, 9, 0)]
+    # content tells: binary, or more lines at once than any rewritten file
+    content = [("src/blob.c", 1, 0, 0, 1), ("src/big.py", 1, 90000000, 0, 0)]
+    hand = [("src/new/hubing_dnsway.py", 5, 120, 40, None), ("lib/rpcs_oakbox.js", 6, 90, 30, 0), ("src/maps_dnser.py", 1, 40, 0, 0)]
+    t = spark.createDataFrame([("o", "r", "o/r", *f) for f in files + marked + content + hand] + [("o", "r", "o/r", None, 1, 1, 1, 0)], totals)
+    c = spark.createDataFrame([("o", "r", None, "web/node_modules/z/z.js", "c1", 300, 0, None)] * 2 + [("o", "r", "o/r", "src/maps_dnser.py", "c2", 3, 1, 0)], commits)
+    got = {r["file_path"]: r["mark"] for r in machine_made(t, c).collect()}
+    assert {p for p, *_ in marked + content} | {"web/node_modules/z/z.js"} <= set(got)
+    assert not {p for p, *_ in hand} & set(got) and not any(p.startswith(("src/", "lib/")) for p in got if p not in {x for x, *_ in content})
+    assert sum(p.startswith(("web/", "api/", "js/")) for p in got) == 3 * len(words) + 4
     assert machine_made(t.limit(0), c.limit(0)).isEmpty()

@@ -143,12 +143,18 @@ def cross_entropy(pieces: list[str], language: str, grams: Table) -> tuple[float
     return bits[worst], len(pieces[worst])
 
 
-def _counted(keys: list[int]) -> pd.DataFrame:
+def _counted(keys: list[int] | np.ndarray) -> pd.DataFrame:
     """Keys of a batch with their counts, so that fewer rows are shuffled."""
     key, n = np.unique(np.array(keys, dtype=np.int64), return_counts=True)
     return pd.DataFrame({"key": key, "n": n.astype(np.int64)})
 
 
+def _unpacked(packed: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All keys of a batch, where each row's begin, and how many it has (at least one)."""
+    n = packed.str.len().to_numpy().astype(np.int64) // 8
+    return np.frombuffer(b"".join(packed), dtype=np.int64), np.cumsum(n) - n, n
+
+
 def source_files(totals: DataFrame, commits: DataFrame) -> DataFrame:
     """One row per file of either table: repo, path, commits, inserts, deletes, is_binary.
 
@@ -206,12 +212,19 @@ def machine_made(totals: DataFrame, commits: DataFrame) -> DataFrame:
     known_grams = files.mapInPandas(grams, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
     names = sc.broadcast(Table(known_grams["key"].to_numpy(), known_grams["n"].to_numpy().astype(np.float64)))
 
-    def templates_of(batch: pd.DataFrame) -> Iterator[tuple[dict[int, str], int | None, tuple]]:
-        for repo, path, n, i, d, b, style in zip(*(batch[c] for c in ("repo", "path", "commits", "inserts", "deletes", "is_binary", "style"))):
-            bits, length = cross_entropy(pieces_of(_SPLIT.split(path)[-1]), parts_of(path)[3], names.value)
-            texts = sorted(templates(path, style, bits, length))
-            own = [key_of(t) for t in texts]
-            yield dict(zip(own, texts)), behaviour(_plain(n), _plain(i), _plain(d), _plain(b)), (repo, path, _plain(i), _plain(d), _plain(b))
+    def texts_of(path: str, style: str | None) -> list[str]:
+        bits, length = cross_entropy(pieces_of(_SPLIT.split(path)[-1]), parts_of(path)[3], names.value)
+        return sorted(templates(path, style, bits, length))
+
+    def keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            batch["keys"] = [np.array([key_of(t) for t in texts_of(p, s)], dtype=np.int64).tobytes() for p, s in zip(batch["path"], batch["style"])]
+            label = [behaviour(_plain(n), _plain(i), _plain(d), _plain(b)) for n, i, d, b in zip(batch["commits"], batch["inserts"], batch["deletes"], batch["is_binary"])]
+            batch["label"] = [-1 if x is None else x for x in label]
+            yield batch[["repo", "path", "inserts", "deletes", "is_binary", "style", "keys", "label"]]
+
+    # every path is parsed once; the passes that follow work on the keys of its templates
+    keys_of = checkpointed(files.mapInPandas(keyed, "repo string, path string, inserts bigint, deletes bigint, is_binary bigint, style string, keys binary, label int"))
 
     def learn(known: Table | None) -> Table:
         """Per template that can decide the share of files that don't behave as hand-written, the share of the commonest
@@ -220,16 +233,16 @@ def machine_made(totals: DataFrame, commits: DataFrame) -> DataFrame:
 
         def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
-                keys: list[int] = []
-                for own, label, _ in templates_of(batch):
-                    if label is None or (shared is not None and shared.value.of(list(own))[0].max() >= CLEAR):
-                        continue
-                    keys.extend(x << 3 | label for x in own)
-                yield _counted(keys)
+                keys, starts, n = _unpacked(batch["keys"])
+                label = batch["label"].to_numpy().astype(np.int64)
+                wanted = label >= 0
+                if shared is not None and len(n):
+                    wanted &= np.maximum.reduceat(shared.value.of(keys)[0], starts) < CLEAR
+                yield _counted((keys << 3 | np.repeat(label, n))[np.repeat(wanted, n)])
 
         label = F.col("key").bitwiseAND(F.lit(7))
         sums = [F.sum(F.when(label == k, F.col("n")).otherwise(0)).alias(f"n{k}") for k in range(5)]
-        table = checkpointed(files.mapInPandas(count, "key bigint, n bigint").groupBy(F.shiftright("key", 3).alias("template")).agg(*sums))
+        table = checkpointed(keys_of.select("keys", "label").mapInPandas(count, "key bigint, n bigint").groupBy(F.shiftright("key", 3).alias("template")).agg(*sums))
         table = table.withColumns({"other": F.expr("n1 + n2 + n3 + n4"), "total": F.expr("n0 + n1 + n2 + n3 + n4"), "top": F.expr("greatest(n1, n2, n3, n4)")})
         table = table.withColumn("kind", F.expr("case top when n1 then 1 when n2 then 2 when n3 then 3 else 4 end"))
         sums_all = table.agg(F.sum("other"), F.sum("total")).first()
@@ -254,20 +267,29 @@ def machine_made(totals: DataFrame, commits: DataFrame) -> DataFrame:
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         first, after = models.value
         for batch in batches:
+            keys, starts, n = _unpacked(batch["keys"])
+            share, _, kind = first.of(keys)
+            rest, rest_most, rest_kind = after.of(keys)
             out = []
-            for own, label, (repo, path, inserts, deletes, binary) in templates_of(batch):
-                texts = list(own.values())
-                share, _, kind = first.of(list(own))
-                rest, rest_most, rest_kind = after.of(list(own))
-                best, second, alike = _first(share, texts, CLEAR), _first(rest, texts, STRONG), _first(rest_most, texts, FAIR)
-                if share[best] >= CLEAR:
-                    out.append((repo, path, kinds[kind[best]], texts[best], float(share[best])))
-                elif rest[second] >= STRONG:
-                    out.append((repo, path, kinds[rest_kind[second]], texts[second], float(rest[second])))
-                elif rest_most[alike] >= FAIR and label == rest_kind[alike] != MINIFIED:
-                    out.append((repo, path, kinds[label], texts[alike], float(rest_most[alike])))
-                elif binary == 1 or (deletes == 0 and (inserts or 0) >= bulk):
+            if len(n):
+                open_rows = np.maximum.reduceat(share, starts) >= CLEAR
+                open_rows |= (np.maximum.reduceat(rest, starts) >= STRONG) | (np.maximum.reduceat(rest_most, starts) >= FAIR)
+            for i, (repo, path, inserts, deletes, binary, style, label) in enumerate(zip(*(batch[c] for c in ("repo", "path", "inserts", "deletes", "is_binary", "style", "label")))):
+                if open_rows[i]:
+                    own = slice(starts[i], starts[i] + n[i])
+                    texts = texts_of(path, style)
+                    best, second, alike = _first(share[own], texts, CLEAR), _first(rest[own], texts, STRONG), _first(rest_most[own], texts, FAIR)
+                    if share[own][best] >= CLEAR:
+                        out.append((repo, path, kinds[kind[own][best]], texts[best], float(share[own][best])))
+                        continue
+                    if rest[own][second] >= STRONG:
+                        out.append((repo, path, kinds[rest_kind[own][second]], texts[second], float(rest[own][second])))
+                        continue
+                    if rest_most[own][alike] >= FAIR and label == rest_kind[own][alike] != MINIFIED:
+                        out.append((repo, path, kinds[label], texts[alike], float(rest_most[own][alike])))
+                        continue
+                if binary == 1 or (deletes == 0 and _plain(inserts) is not None and inserts >= bulk):
                     out.append((repo, path, "data", "", 1.0))
             yield pd.DataFrame(out, columns=["owner_repo", "file_path", "mark", "template", "share"])
 
-    return files.mapInPandas(judge, "owner_repo string, file_path string, mark string, template string, share double")
+    return keys_of.mapInPandas(judge, "owner_repo string, file_path string, mark string, template string, share double")

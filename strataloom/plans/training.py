@@ -19,6 +19,37 @@ def p1_store(spark: SparkSession, d: str) -> DataFrame:
     return nested.store_summary(nested.merkle_tables(table(spark, d, "import_performance_tracking"), "id", "stats_json"))
 
 
+def p1_rejects(spark: SparkSession, d: str) -> DataFrame:
+    """Texts of the tracking table that hold no document, by reason."""
+    return nested.merkle_tables(table(spark, d, "import_performance_tracking"), "id", "stats_json").reject.groupBy("reason").agg(F.count("*").alias("n"))
+
+
+def _list(field: str) -> str:
+    return f"case json_type({field}) when 'ARRAY' then json_extract({field}, '$[*]') when 'OBJECT' then [{field}] else [] end"
+
+
+def _text(field: str) -> str:
+    return f"case when json_type({field}) in ('OBJECT', 'ARRAY', 'NULL') then null else {field} ->> '$' end"
+
+
+_TRIM = "ltrim({0}, chr(65279) || ' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12) || chr(160))"
+P1_SQL = f"""with recursive u as (
+  select id, {_TRIM.format("stats_json")} as t from import_performance_tracking
+  union all
+  select id, case json_type(t) when 'ARRAY' then cast(t -> '$[0]' as varchar) else {_TRIM.format("(t ->> '$')")} end
+  from u where json_valid(t) and (json_type(t) = 'VARCHAR' or (json_type(t) = 'ARRAY' and json_array_length(t) = 1))),
+docs as (select distinct id, cast(t as json) as j from u where json_valid(t) and json_type(t) = 'OBJECT'),
+hackers as (select id, h, {_text("(h -> 'hacker_hash')")} as hash from (select id, unnest({_list("(j -> 'hack_assoc_map')")}) as h from docs) where json_type(h) = 'OBJECT'),
+exts as (select id, coalesce(hash, '') as hash, {_text("(e -> 'ext')")} as child from (select id, hash, unnest({_list("(h -> 'hacker_extension_map')")}) as e from hackers) where json_type(e) = 'OBJECT'),
+langs as (select id, coalesce(hash, '') || '/' || coalesce({_text("(a -> 'lang_ext')")}, '') as parent, a from (select id, hash, unnest({_list("(h -> 'hacker_import_array')")}) as a from hackers) where json_type(a) = 'OBJECT'),
+imports as (select id, parent, {_text("(i -> 'name')")} as child from (select id, parent, unnest({_list("(a -> 'import_map')")}) as i from langs) where json_type(i) = 'OBJECT'),
+authors as (select blame_id, unnest(authors) as a from blame)
+select 'hacker' as link_kind, id as rec_id, '' as parent_key, hash as child_key from hackers where hash is not null
+union select 'extension', id, hash, child from exts where child is not null
+union select 'import', id, parent, child from imports where child is not null
+union select 'blame_author', blame_id, coalesce(a.author, ''), unnest(map_keys(a.author_hash_map)) from authors where a is not null
+union select 'blame_commit', blame_id, coalesce(a.author, ''), unnest(map_keys(a.commit_hash_map)) from authors where a is not null"""
+
 #: child table, reference, time of the child, parent table
 REFERENCES = [
     ("git_commit", "alias_id", "loaded_at", "dev_alias"),
@@ -124,6 +155,7 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     "p1_found": p1_found,
     "p1_store": p1_store,
+    "p1_rejects": p1_rejects,
     "p2_found": p2_found,
     "p2_report": p2_report,
     "p5_found": p5_found,
@@ -134,6 +166,7 @@ QUERIES = {
     "p6_found": p6_found,
 }
 ORACLES = {
+    "p1_found": P1_SQL,
     "p2_found": P2_SQL,
     "p2_report": f"select child_table, period, orphan_kind, count(*) as n_orphans from ({P2_SQL}) group by all",
     "p5_found": P5_FOUND_SQL,

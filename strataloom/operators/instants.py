@@ -167,11 +167,13 @@ def parse_dates(texts: pd.Series, zones: pd.Series, version: str) -> pd.DataFram
     """utc_epoch and offset_min of each text, both null where there is no certain instant.
 
     An offset in the text goes before the zone beside it; a bare epoch number has offset 0. Weekday names aren't held
-    against the date. Null, empty, unknown and very long texts and dates that don't exist give nulls.
+    against the date. Blanks around a date don't matter, however many. Null, empty and unknown texts, however long, and dates
+    that don't exist give nulls.
     """
     n = len(texts)
     epoch, offset, good = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, bool)
-    clean = [t.translate(_MINUS).strip() if isinstance(t, str) and len(t) <= 200 else "" for t in texts]
+    clean = [t.strip().translate(_MINUS).strip() if isinstance(t, str) else "" for t in texts]
+    beside_all = np.array([z if isinstance(z, str) else "" for z in zones], dtype=object)
     masks = pd.Series([t.translate(_MASK) if t.isascii() else "" for t in clean])
     for mask, rows in masks.groupby(masks).indices.items():
         plan = _plan(mask)
@@ -220,7 +222,7 @@ def parse_dates(texts: pd.Series, zones: pd.Series, version: str) -> pd.DataFram
         ok &= (day >= 1) & (day <= length)
         wall = _days(year, month, day) * 86400 + hour * 3600 + minute * 60 + second
         if not zoned.all():
-            beside = pd.Series([zones.iloc[i] if isinstance(zones.iloc[i], str) else "" for i in rows])
+            beside = pd.Series(beside_all[rows])
             for zone, at in beside.groupby(beside).indices.items():
                 if (fixed := offset_minutes(zone)) is not None:
                     east[at] = fixed

@@ -60,3 +60,8 @@ def test_tables(spark):
     blame = spark.createDataFrame([(9, [("a", {"h": (1577833200123, 1, "??"), "g": (-1, 1, "Z"), "i": None}, {"h": (1577833200123, 2, "??")})]), (8, None)], schema)
     assert [tuple(r) for r in blame_instants(blame).distinct().collect()] == [("blame", "9:h", 1577833200, 0)]
     assert instants(commits.limit(0), log.limit(0), blame.limit(0)).isEmpty()
+
+
+def test_blanks_and_long_texts(spark):
+    log = spark.createDataFrame([(1, " " * 500 + "2020-01-01 00:00:00" + "\n" * 300, "+0100"), (2, "2020-01-01" + " " * 400 + "00:00:00", "+0100"), (3, "2" * 100_000, "+0100")], "log_id long, date string, orig_timezone string")
+    assert sorted(tuple(r)[1:] for r in log_instants(log).collect()) == [("1", 1577833200, 60), ("2", 1577833200, 60)]

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
+from strataloom.session import checkpointed
+
 #: Beyond this size the filter is not widened; it then affirms more and the exact joins have more to do.
 MAX_FILTER_BYTES = 8 << 20
 
@@ -65,16 +67,16 @@ class BloomFilter:
         return key.isNotNull() & probe(F.xxhash64(key.cast("bigint")))
 
 
-def salted_join(left: DataFrame, right: DataFrame, key: str, how: str = "left", heavy_share: float = 0.02, salts: int = 16) -> DataFrame:
+def salted_join(left: DataFrame, right: DataFrame, key: str, how: str = "left", heavy_share: float = 0.02, salts: int = 16, least_rows: int = 100_000) -> DataFrame:
     """Equi-join on ``key`` whose hot left keys are spread over ``salts`` tasks.
 
     Keys with at least ``heavy_share`` of the left rows, at most 1/heavy_share of them, are found by a combined count;
     their left rows get a salt from a hash of the row, their right rows are repeated once per salt. Other keys join as
-    they are. Rows come out as from the plain join.
+    they are; so do all of fewer than ``least_rows`` rows. Rows come out as from the plain join.
     """
     counts = left.where(F.col(key).isNotNull()).groupBy(key).count()
     total = counts.agg(F.sum("count")).first()[0] or 0
-    heavy = [r[0] for r in counts.where(F.col("count") >= max(2, total * heavy_share)).collect()] if total > 100_000 else []
+    heavy = [r[0] for r in counts.where(F.col("count") >= max(2, total * heavy_share)).collect()] if total > least_rows else []
     if not heavy:
         return left.join(right, key, how)
     hot = F.col(key).isin(heavy)
@@ -98,7 +100,8 @@ def orphans(children: DataFrame, parents: DataFrame, child_id: str, ref: str, at
     wanted = children.select(F.col(child_id).cast("bigint").alias("child_id"), F.col(ref).cast("bigint").alias("ref"), F.col(at).alias("t")).where("ref is not null").distinct()
     spells = parents.select(F.col(parent_id).cast("bigint").alias("ref"), F.col(loaded).alias("a"), F.col(deleted).alias("z")).where("ref is not null")
     known = BloomFilter(spells.select("ref"), "ref", fpp)
-    flagged = wanted.withColumn("maybe", known.might_contain(F.col("ref")))
+    # read by several branches: the filter is asked once per reference
+    flagged = checkpointed(wanted.withColumn("maybe", known.might_contain(F.col("ref"))))
     denied = flagged.where("not maybe").select("child_id", F.lit("missing").alias("orphan_kind"), "t")
     summary = spells.groupBy("ref").agg(F.lit(True).alias("there"), F.min("a").alias("first"), F.min(F.when(F.col("z").isNull(), F.col("a"))).alias("open"))
     closed = spells.where("a is not null and z > a").groupBy("ref", "a").agg(F.max("z").alias("z"))

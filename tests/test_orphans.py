@@ -36,3 +36,7 @@ def test_salted_join_is_the_join(spark):
     right = spark.range(100).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
     a, b = salted_join(left, right, "k"), left.join(right, "k", "left")
     assert a.agg(F.count("*"), F.sum("v"), F.sum("id")).first() == b.agg(F.count("*"), F.sum("v"), F.sum("id")).first()
+    few = left.limit(300)
+    for how in ("left", "inner"):
+        a, b, c = (salted_join(few, right, "k", how, least_rows=0), salted_join(few, right, "k", how), few.join(right, "k", how))
+        assert sorted(map(str, a.collect())) == sorted(map(str, b.collect())) == sorted(map(str, c.collect()))

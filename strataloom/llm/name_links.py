@@ -3,15 +3,17 @@
 A name is folded (encoding slips undone, accents and case dropped), stripped of titles and remarks, and split into a
 given part and a family part whatever their order. Equal families are one key; families that differ by a typing slip are
 found by a trie join: the family names of each given name are sharded by their first and by their last letters, each
-shard is a trie, and every name walks it as a Levenshtein automaton of distance 1. The order of tokens is guessed by the
-given names that the whole table knows; names that meet in the sorted set of their tokens then get one order.
+shard is a trie, and every name walks it as a Levenshtein automaton of distance 1; slips of given names are looked up in a
+trie alike. The order of tokens is guessed by the given names that the whole table knows; names that meet in the sorted set
+of their tokens then get one order. Short forms of given names are learned from the table: an address that spells the family
+name of its display name beside another given name is evidence, and so is an address of two display names of one family.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import pandas as pd
@@ -21,25 +23,19 @@ from pyspark.sql import functions as F
 from strataloom.llm.clusters import boruvka
 from strataloom.session import checkpointed, parallelism
 
-#: Short forms of given names.
+#: Everyday English short forms, for tables too small to learn from; what a table tells goes before.
 NICKNAMES = {
-    short: full
-    for full, shorts in {
-        "abigail": "abby", "alexandra": "lexa", "alexander": "alex sasha", "andrew": "andy", "angelica": "geli", "anthony": "tony", "antonia": "toni", "augustin": "gus", "benedikt": "ben", "benjamin": "benny",
-        "catherine": "cathy", "charles": "chuck charlie", "christopher": "kit chris", "daniel": "dan danny", "david": "dave", "dimitri": "dima", "dorothea": "dora", "edward": "ned eddie", "elizabeth": "liz beth",
-        "francisco": "paco", "gregor": "grisha", "guadalupe": "lupe", "henrietta": "hettie", "ignacio": "nacho", "isabella": "bella", "james": "jim jimmy", "jennifer": "jenny", "johannes": "hannes", "joseph": "joe",
-        "josefina": "pepa", "katarina": "kaja", "konstantin": "kostya", "lawrence": "larry", "leonardo": "leo", "magdalena": "lena", "margaret": "peggy maggie", "matthew": "matt", "matthias": "hias", "maximilian": "max",
-        "michael": "mischa mike", "natalia": "natasha", "nicholas": "nick", "nikolai": "kolya", "oliver": "olli", "patricia": "pat patty", "penelope": "nell penny", "philippa": "pip", "rafael": "rafa", "rebecca": "becky",
-        "richard": "dick rick", "robert": "bob rob bobby", "rosalinda": "linda", "samuel": "sam", "sebastian": "basti", "stephen": "steve", "susanne": "sanna", "theodor": "ted theo", "thomas": "tom tommy", "ulrich": "uli",
-        "valentina": "tina", "veronika": "vroni", "wilhelmina": "mina", "william": "bill will", "zacharias": "zach",
-    }.items()
-    for short in shorts.split()
+    "alex": "alexander", "andy": "andrew", "ben": "benjamin", "bill": "william", "bob": "robert", "chris": "christopher", "dan": "daniel", "dave": "david", "ed": "edward", "fred": "frederick",
+    "greg": "gregory", "jim": "james", "joe": "joseph", "jon": "jonathan", "ken": "kenneth", "liz": "elizabeth", "matt": "matthew", "meg": "margaret", "mike": "michael", "nick": "nicholas",
+    "pete": "peter", "phil": "philip", "rob": "robert", "ron": "ronald", "sam": "samuel", "steve": "stephen", "sue": "susan", "ted": "theodore", "tim": "timothy", "tom": "thomas", "tony": "anthony", "will": "william",
 }
 #: Words that show an account to be no person's.
 NO_PERSON = frozenset("bot release noreply mirror admin root user ubuntu team ci build builder jenkins system daemon service automation robot deploy github gitlab dependabot unknown nobody anonymous localhost test your".split())
 TITLES = frozenset("dr mr mrs ms prof dipl ing sir".split())
 #: Family names with fewer letters are linked by equal spelling alone, and read from a handle only if the address tells both names.
 LEAST_FAMILY = 4
+#: A given name that is so many times rarer than one a slip away is a slip itself.
+SLIP_RATIO = 10
 #: Scripts with case or accents to fold, and scripts whose names are written without spaces and in single letters.
 FOLDED, UNSPACED = ("LATIN", "GREEK", "CYRILLIC"), ("CJK", "HANGUL", "HIRAGANA", "KATAKANA")
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -125,21 +121,60 @@ def _edit_one(a: str, b: str) -> bool:
     return a[i + 1 :] == b[i + 1 :] or a[i:] == b[i + 1 :] or a[i + 1 :] == b[i:] or (a[i : i + 2] == b[i : i + 2][::-1] and a[i + 2 :] == b[i + 2 :])
 
 
-class Given:
-    """The given names that a table knows: short forms, frequent tokens, and slips of them."""
+class Trie:
+    """Words in a trie, walked as Levenshtein automata of distance 1 (a swap of neighbours is one slip)."""
+
+    def __init__(self, words: Iterable[str]):
+        self.root: dict = {}
+        for word in words:
+            node = self.root
+            for c in word:
+                node = node.setdefault(c, {})
+            node[""] = word
 
-    def __init__(self, known: set[str]):
-        self.known = known | set(NICKNAMES) | set(NICKNAMES.values())
-        self.long = [g for g in self.known if len(g) >= 4]
+    def near(self, word: str) -> list[str]:
+        """The words at most one slip from ``word``, itself included. The automaton's state is the row of distances to the
+        trie's path, cut where all of the row exceeds 1."""
+        n, found = len(word), []
+        stack = [(self.root, tuple(range(n + 1)), None, "")]
+        while stack:
+            node, row, above, last = stack.pop()
+            for c, child in node.items():
+                if c == "":
+                    if row[n] <= 1:
+                        found.append(child)
+                    continue
+                new = [row[0] + 1]
+                for i in range(1, n + 1):
+                    d = min(row[i] + 1, new[i - 1] + 1, row[i - 1] + (word[i - 1] != c))
+                    if above is not None and i > 1 and word[i - 1] == last and word[i - 2] == c:
+                        d = min(d, above[i - 2] + 1)
+                    new.append(d)
+                # a swap may still bring the row back under the bound one character further on
+                if min(new) <= 1 or (min(row) <= 1 and min(new) == 2):
+                    stack.append((child, tuple(new), row, c))
+        return found
+
+
+class Given:
+    """The given names that a table knows: frequent tokens, short forms with their full ones, and slips of them."""
+
+    def __init__(self, known: set[str], nicknames: dict[str, str] | None = None):
+        self.short = NICKNAMES if nicknames is None else nicknames
+        self.known = known | set(self.short) | set(self.short.values())
+        self.shorts: dict[str, list[str]] = {}
+        for short, full in self.short.items():
+            self.shorts.setdefault(full, []).append(short)
+        self.trie = Trie(g for g in self.known if len(g) >= 4)
         self.seen: dict[str, str | None] = {}
 
     def full(self, token: str) -> str | None:
         """The full form of a given name or of a slip of one; None if the token is none."""
         if token not in self.seen:
             if token in self.known:
-                self.seen[token] = NICKNAMES.get(token, token)
+                self.seen[token] = self.short.get(token, token)
             else:
-                near = {NICKNAMES.get(g, g) for g in self.long if _edit_one(token, g)} if len(token) >= 4 else set()
+                near = {self.short.get(g, g) for g in self.trie.near(token)} if len(token) >= 4 else set()
                 self.seen[token] = near.pop() if len(near) == 1 else None
             if len(self.seen) > 200_000:
                 self.seen = {}
@@ -150,9 +185,13 @@ class Given:
         """(full given name, rest) if the text begins with a given name and leaves a family name; the longest wins."""
         for n in range(len(text) - LEAST_FAMILY, 2, -1):
             if text[:n] in self.known:
-                return NICKNAMES.get(text[:n], text[:n]), text[n:]
+                return self.short.get(text[:n], text[:n]), text[n:]
         return None
 
+    def initials(self, full: str) -> set[str]:
+        """Initials that stand for a given name: its own and those of its short forms."""
+        return {full[0], *(x[0] for x in self.shorts.get(full, ()))}
+
 
 def parse_person(alias: str | None, given: Given) -> tuple[str, str, str] | None:
     """(given, initial, family) of an alias; ``given`` is '' if only an initial is told. None for no person.
@@ -172,7 +211,7 @@ def parse_person(alias: str | None, given: Given) -> tuple[str, str, str] | None
     if len(tokens) == 1:
         token = re.sub(r"\d+", "", tokens[0])
         apart = [(given.full(a) or a, b) for a, b in (pieces, pieces[::-1])] if len(pieces) == 2 else []
-        if (told := next((x for x in mentioned + apart if len(x[0]) > 1 and len(x[1]) < LEAST_FAMILY and token in _handles(*x)), None)) is not None:
+        if (told := next((x for x in mentioned + apart if len(x[0]) > 1 and len(x[1]) < LEAST_FAMILY and token in _handles(*x, given)), None)) is not None:
             first, family = told
         elif token and _unspaced(token):
             # not to be cut into two names: linked by equal spelling
@@ -208,7 +247,7 @@ def parse_person(alias: str | None, given: Given) -> tuple[str, str, str] | None
     if _initial(first):
         initial, full = first, ""
         for guess, name in mentioned:
-            if len(guess) > 1 and (name == family or _slip(name, family)) and initial in (guess[0], *(k[0] for k, v in NICKNAMES.items() if v == guess)):
+            if len(guess) > 1 and (name == family or _slip(name, family)) and initial in given.initials(guess):
                 full = guess
         if not full and len(pieces) == 1 and given.full(pieces[0]) and pieces[0] in given.known and given.full(pieces[0])[0] == initial:
             full = given.full(pieces[0])
@@ -216,7 +255,7 @@ def parse_person(alias: str | None, given: Given) -> tuple[str, str, str] | None
         full = given.full(first) or first
         initial = full[0]
     if all(name != family for _, name in mentioned):
-        family = next((name for guess, name in mentioned if _slip(name, family) and (not guess or guess in (full, initial, *(k[0] for k, v in NICKNAMES.items() if v == full)))), family)
+        family = next((name for guess, name in mentioned if _slip(name, family) and (not guess or guess == full or guess in given.initials(full) | {initial})), family)
     return full, initial, family
 
 
@@ -225,8 +264,8 @@ def _slip(a: str, b: str) -> bool:
     return min(len(a), len(b)) >= LEAST_FAMILY and _edit_one(a, b)
 
 
-def _handles(given: str, family: str) -> tuple[str, ...]:
-    firsts = [given, given[0], *(x for k, v in NICKNAMES.items() if v == given for x in (k, k[0]))]
+def _handles(first: str, family: str, given: Given) -> tuple[str, ...]:
+    firsts = [first, first[0], *(x for k in given.shorts.get(first, ()) for x in (k, k[0]))]
     return tuple(x for f in firsts for x in (f + family, family + f))
 
 
@@ -252,9 +291,9 @@ def address_letters(alias: str | None) -> str:
     return "".join(_LETTERS.findall(fold(split_alias(alias)[1].partition("@")[0])))
 
 
-def token_set(alias: str | None) -> str:
+def token_set(alias: str | None, given: Given) -> str:
     """Words of a display name in alphabetical order, short forms in full, initials left out; '' of less than two."""
-    words = {NICKNAMES.get(t, t) for t in name_tokens(split_alias(alias)[0]) if not _initial(t) and not t.isdigit()}
+    words = {given.short.get(t, t) for t in name_tokens(split_alias(alias)[0]) if not _initial(t) and not t.isdigit()}
     return " ".join(sorted(words)) if len(words) > 1 else ""
 
 
@@ -277,55 +316,74 @@ def one_order(parsed: DataFrame) -> DataFrame:
     return checkpointed(rows)
 
 
-def trie_neighbours(names: list[str]) -> list[tuple[str, str]]:
-    """Pairs (a, b), a < b, of different names at most one slip (insertion, deletion, substitution, swap) apart.
+def other_given(alias: str | None) -> list[tuple[str, str, str]]:
+    """Evidence of a short form in one alias: (a given name of the display name, another one that the address has in its
+    place, the family name that both spell)."""
+    display, address = split_alias(alias)
+    words = [t for t in name_tokens(display) if len(t) >= 2 and t.isalpha()]
+    local = re.sub(r"^\d+\+", "", fold(address.partition("@")[0]))
+    pieces = _LETTERS.findall(re.sub(r"\d+$", "", local))
+    out = []
+    if len(words) == 2 and not NO_PERSON & {*words, *pieces}:
+        for own, family in (words, words[::-1]):
+            if len(family) < LEAST_FAMILY:
+                continue
+            if len(pieces) == 2 and family in pieces:
+                other = pieces[1 - pieces.index(family)]
+            elif len(pieces) == 1 and pieces[0] != family and pieces[0].endswith(family):
+                other = pieces[0][: -len(family)]
+            else:
+                continue
+            if len(other) >= 2 and other != own and not _edit_one(other, own):
+                out.append((own, other, family))
+    return out
+
 
-    The names form one trie; each walks it as a Levenshtein automaton whose state is the row of distances to the trie's
-    path, cut where all of the row exceeds 1.
+def short_forms(evidence: list[tuple[str, str, int]], uses: dict[str, int], least: int, clear: float = 0.75) -> dict[str, str]:
+    """Short form -> full form from (one name, another name, families that show both).
+
+    Of two names the one with more ``uses`` in the table is the full one, the longer one in a tie. A short form belongs to
+    the full form of most of its families; if fewer than the share ``clear`` of them agree it is left alone, as it may
+    stand for several names. Chains are followed to their end.
     """
-    trie: dict = {}
-    for name in names:
-        node = trie
-        for c in name:
-            node = node.setdefault(c, {})
-        node[""] = name
-    pairs = []
-    for name in names:
-        n = len(name)
-        stack = [(trie, tuple(range(n + 1)), None, "")]
-        while stack:
-            node, row, above, last = stack.pop()
-            for c, child in node.items():
-                if c == "":
-                    if row[n] <= 1 and name < child:
-                        pairs.append((name, child))
-                    continue
-                new = [row[0] + 1]
-                for i in range(1, n + 1):
-                    d = min(row[i] + 1, new[i - 1] + 1, row[i - 1] + (name[i - 1] != c))
-                    if above is not None and i > 1 and name[i - 1] == last and name[i - 2] == c:
-                        d = min(d, above[i - 2] + 1)
-                    new.append(d)
-                if min(new) <= 1:
-                    stack.append((child, tuple(new), row, c))
-                elif above is not None or last == "":
-                    # a swap may still bring the row back under the bound one character further on
-                    if min(row) <= 1 and min(new) == 2:
-                        stack.append((child, tuple(new), row, c))
-    return sorted(set(pairs))
+    support: dict[str, dict[str, int]] = {}
+    for a, b, n in evidence:
+        full, short = sorted((a, b), key=lambda x: (-uses.get(x, 0), -len(x), x))
+        support.setdefault(short, {})[full] = support.get(short, {}).get(full, 0) + n
+    best = {}
+    for short, fulls in support.items():
+        full = max(fulls, key=lambda x: (fulls[x], x))
+        if fulls[full] >= least and fulls[full] >= clear * sum(fulls.values()):
+            best[short] = full
+    out = {}
+    for short in best:
+        full, passed = best[short], {short}
+        while full in best and full not in passed:
+            passed.add(full)
+            full = best[full]
+        out[short] = full
+    return out
+
+
+def trie_neighbours(names: list[str]) -> list[tuple[str, str]]:
+    """Pairs (a, b), a < b, of different names at most one slip (insertion, deletion, substitution, swap) apart: the
+    names form one trie, and each walks it."""
+    trie = Trie(names)
+    return sorted({(name, other) for name in names for other in trie.near(name) if name < other})
 
 
-def trie_join(keys: DataFrame, edge: int = 3) -> DataFrame:
+def trie_join(keys: DataFrame) -> DataFrame:
     """Pairs of family names of one given name that are one slip apart: given, left_family, right_family.
 
-    ``keys`` has the distinct columns given, family. A slip within the first letters leaves the last ones and the other
-    way round, so that each pair meets in a shard by its first or its last ``edge`` letters; names shorter than twice
-    that plus one go by their length as well, under the given name alone.
+    ``keys`` has the distinct columns given, family. One slip in a name of at least 2e + 1 letters leaves its first e or its
+    last e letters as they are, so that each pair meets in a shard by its first or its last letters. e is 3 from seven
+    letters on, 2 from five to seven and 1 up to five, so that names of neighbouring lengths share one e.
     """
-    long = F.length("family") > 2 * edge + 1
-    shards = F.when(long, F.array(F.concat(F.lit("<"), F.substring("family", 1, edge)), F.concat(F.lit(">"), F.expr(f"right(family, {edge})"))))
-    near = F.when(F.length("family") <= 2 * edge + 2, F.array(F.lit("-")))
-    sharded = keys.select("given", "family", F.explode(F.array_compact(F.concat(F.coalesce(shards, F.array(F.lit(None).cast("string"))), F.coalesce(near, F.array(F.lit(None).cast("string")))))).alias("shard"))
+    n = F.length("family")
+    sharded = keys.select("given", "family", F.explode(F.array_compact(F.flatten(F.array(*[
+        F.when(fits, F.array(F.concat(F.lit(f"{e}<"), F.substring("family", 1, e)), F.concat(F.lit(f"{e}>"), F.expr(f"right(family, {e})")))).otherwise(F.array(F.lit(None).cast("string")))
+        for e, fits in ((3, n >= 7), (2, n.between(5, 7)), (1, n <= 5))
+    ]))) ).alias("shard"))
 
     def join(group: pd.DataFrame) -> pd.DataFrame:
         pairs = trie_neighbours(sorted(set(group["family"])))
@@ -336,7 +394,7 @@ def trie_join(keys: DataFrame, edge: int = 3) -> DataFrame:
     return dealt.groupBy("given", "shard").applyInPandas(join, "given string, left_family string, right_family string").distinct()
 
 
-def persons(aliases: DataFrame, id_col: str = "id", name_col: str = "name", least_share: float = 0.001, least_count: int = 20) -> DataFrame:
+def persons(aliases: DataFrame, id_col: str = "id", name_col: str = "name", least_count: int = 20, least_families: int = 3, most_names: int = 200_000) -> DataFrame:
     """The person of each alias: alias_id, given, family; aliases of one person have equal values.
 
     Aliases that name no person, null and empty names, names of one given name and null ids give no rows. A family name
@@ -346,8 +404,9 @@ def persons(aliases: DataFrame, id_col: str = "id", name_col: str = "name", leas
     compared by equal spelling only. A Chinese or Korean name without a space is cut after its family name of one letter
     (two in names of four letters or more), another unspaced one is compared as a whole. Repeated rows count once; an id with two names has both. Extra columns aren't read.
 
-    Tokens with at least ``least_share`` of the names that aren't mostly the last word are taken as given names too; there
-    are at most a few thousand. They cut handles and choose an order; names of the same words are one person's in any
+    Tokens of at least ``least_count`` names that aren't mostly the last word are taken as given names, and two given names
+    as short and full form if ``least_families`` family names show both; at most ``most_names`` of either are used, the
+    most frequent ones. They cut handles and choose an order; names of the same words are one person's in any
     order, however rare. A name in the other order that also has a slip meets only if its given name is known.
     """
     rows = aliases.select(F.col(id_col).cast("bigint").alias("alias_id"), F.col(name_col).cast("string").alias("alias")).where("alias_id is not null and alias is not null").distinct()
@@ -359,20 +418,35 @@ def persons(aliases: DataFrame, id_col: str = "id", name_col: str = "name", leas
             out = []
             for alias in batch["alias"]:
                 words = name_tokens(split_alias(alias)[0])
-                out += [(t, int(len(words) > 1 and t == words[-1])) for t in dict.fromkeys(words) if len(t) > 2 and t.isalpha() and not _unspaced(t)]
-            yield pd.DataFrame(out, columns=["token", "last"])
-
-    total = rows.count()
-    frequent = rows.select("alias").mapInPandas(tokens, "token string, last int").groupBy("token").agg(F.count("*").alias("n"), F.sum("last").alias("last")).where((F.col("n") >= max(least_count, total * least_share)) & (F.col("last") * 2 <= F.col("n")))
-    known = spark.sparkContext.broadcast({r["token"] for r in frequent.collect()} - NO_PERSON)
+                out += [(t, None, None, int(len(words) > 1 and t == words[-1])) for t in dict.fromkeys(words) if len(t) > 1 and t.isalpha() and not _unspaced(t)]
+                out += [(*sorted((a, b)), family, None) for a, b, family in other_given(alias)]
+            yield pd.DataFrame(out, columns=["token", "other", "family", "last"]).astype({"last": "Int32"})
+
+    told = checkpointed(rows.select("alias").mapInPandas(tokens, "token string, other string, family string, last int"))
+    counts = told.where("other is null").groupBy("token").agg(F.count("*").alias("n"), F.sum("last").alias("last"))
+    frequent = counts.where((F.col("n") >= least_count) & (F.col("last") * 2 <= F.col("n")) & (F.length("token") > 2)).orderBy(F.desc("n"), "token").limit(most_names)
+    # a token one slip from another that is so much commoner is a slip of it
+    frequent = checkpointed(frequent)
+    near = trie_join(frequent.where(F.length("token") >= LEAST_FAMILY).select(F.lit("").alias("given"), F.col("token").alias("family"))).select(F.explode(F.array(F.struct(F.col("left_family").alias("token"), F.col("right_family").alias("right")), F.struct(F.col("right_family").alias("token"), F.col("left_family").alias("right")))).alias("p")).select("p.*")
+    sizes = frequent.select("token", "n")
+    slips = near.join(sizes, "token").join(sizes.select(F.col("token").alias("right"), F.col("n").alias("m")), "right").where(F.col("n") * SLIP_RATIO <= F.col("m"))
+    frequent = frequent.join(slips.select("token").distinct(), "token", "left_anti")
+    # each family's evidence counts once, so that one person with many aliases makes no short form
+    shown = told.where("other is not null").select("token", "other", "family").distinct().groupBy("token", "other").agg(F.count("*").alias("families"))
+    shown = shown.where(F.col("families") >= least_families).orderBy(F.desc("families"), "token", "other").limit(most_names)
+    uses = counts.select("token", F.col("n").alias("uses"))
+    shown = shown.join(uses, "token", "left").join(uses.select(F.col("token").alias("other"), F.col("uses").alias("other_uses")), "other", "left").collect()
+    learned = short_forms([(r["token"], r["other"], r["families"]) for r in shown], {name: n or 0 for r in shown for name, n in ((r["token"], r["uses"]), (r["other"], r["other_uses"]))}, least_families)
+    seeds = {short: learned.get(full, full) for short, full in NICKNAMES.items() if short not in learned and learned.get(full, full) != short}
+    known = spark.sparkContext.broadcast(({r["token"] for r in frequent.collect()} - NO_PERSON, seeds | learned))
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        given = Given(known.value)
+        given = Given(*known.value)
         for batch in batches:
             out = []
             for alias_id, alias in zip(batch["alias_id"], batch["alias"]):
                 if (person := parse_person(alias, given)) is not None:
-                    out.append((alias_id, *person, address_letters(alias), token_set(alias)))
+                    out.append((alias_id, *person, address_letters(alias), token_set(alias, given)))
             yield pd.DataFrame(out, columns=["alias_id", "given", "initial", "family", "letters", "tokens"])
 
     parsed = one_order(checkpointed(rows.mapInPandas(parse, "alias_id bigint, given string, initial string, family string, letters string, tokens string")))
@@ -409,6 +483,13 @@ def _initials(given):
     return F.array_distinct(F.array(F.substring(given, 1, 1)))
 
 
+def person_members(aliases: DataFrame, id_col: str = "id", name_col: str = "name") -> DataFrame:
+    """The main result: each alias with its person, named by the smallest id: person_id, alias_id. An alias alone is a
+    person of its own; nothing is paired, however many aliases a person has."""
+    who = checkpointed(persons(aliases, id_col, name_col))
+    return who.join(who.groupBy("given", "family").agg(F.min("alias_id").alias("person_id")), ["given", "family"]).select("person_id", "alias_id").distinct()
+
+
 def same_person(aliases: DataFrame, id_col: str = "id", name_col: str = "name") -> DataFrame:
     """Every pair of different ids of one person, smaller first: left_alias_id, right_alias_id."""
     who = checkpointed(persons(aliases, id_col, name_col))

@@ -25,6 +25,10 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return name_links.same_person(table(spark, d, "dev_alias"))
 
 
+def p7_members(spark: SparkSession, d: str) -> DataFrame:
+    return name_links.person_members(table(spark, d, "dev_alias"))
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return bpe.token_ids(table(spark, d, "documents"))
 
@@ -50,6 +54,7 @@ QUERIES = {
     "p4_found": p4_found,
     "p4_clusters": p4_clusters,
     "p7_found": p7_found,
+    "p7_members": p7_members,
     "p8_ids": p8_ids,
     "p8_round_trip": p8_round_trip,
     "p9_packed": p9_packed,

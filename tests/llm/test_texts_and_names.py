@@ -6,7 +6,7 @@ import pytest
 
 from strataloom.llm.generated_files import Table, cross_entropy, machine_made, name_grams, naming_style, pieces_of, templates
 from strataloom.llm.keyword_pages import clause_words, is_keyword_page, keyword_pages, measures, repeated_spans, repeated_spans_by_sorting
-from strataloom.llm.name_links import Given, _edit_one, fold, parse_person, persons, same_person, trie_neighbours
+from strataloom.llm.name_links import Given, _edit_one, fold, other_given, parse_person, person_members, persons, same_person, short_forms, trie_join, trie_neighbours
 
 SPAM = [
     "buy cheap watches " * 30,
@@ -92,7 +92,7 @@ def test_page_table(spark):
 
 
 def test_name_parsing():
-    given = Given({"magdalena", "henrietta"})
+    given = Given({"magdalena", "henrietta"}, {"hettie": "henrietta"})
     cases = {
         "Henrietta Graruvyhy <h@x.test>": ("henrietta", "h", "graruvyhy"),
         "Graruvyhy, Hettie <h@x.test>": ("henrietta", "h", "graruvyhy"),
@@ -123,6 +123,28 @@ def test_persons(spark):
     assert same_person(two).isEmpty()
 
 
+def test_short_forms_are_learned_from_addresses(spark):
+    assert other_given("Sindre Lipidabo <pim.lipidabo@x.test>") == [("sindre", "pim", "lipidabo")]
+    assert other_given("Lipidabo Sindre <pimlipidabo@x.test>") == [("sindre", "pim", "lipidabo")]
+    for alias in ("Sindre Lipidabo <team@x.test>", "Sindre Lipidabo <s.lipidabo@x.test>", "Sindr Lipidabo <sindre.lipidabo@x.test>", "Sindre Lipidabo", None):
+        assert other_given(alias) == []
+    assert short_forms([("pim", "sindre", 4), ("pim", "samson", 1), ("lo", "pim", 3), ("al", "albert", 3), ("al", "alma", 3), ("x", "y", 2)], {"sindre": 9, "samson": 9, "pim": 3, "albert": 5, "alma": 5, "x": 1}, 3) == {"pim": "sindre", "lo": "sindre"}
+    families = ("Lipidabo", "Gravuta", "Stomenik")
+    rows = [(i, f"Sindre {f} <pim.{f.lower()}@x.test>") for i, f in enumerate(families)] + [(10 + i, f"Pim {f} <{f.lower()}@y.test>") for i, f in enumerate(families)] + [(20, "Samson Lipidabo <pim@x.test>")]
+    df = spark.createDataFrame(rows, "id long, name string")
+    assert {tuple(r) for r in same_person(df).collect()} == {(i, 10 + i) for i in range(3)}
+    assert {tuple(r) for r in person_members(df).collect()} == {(i % 10, i) for i in (0, 1, 2, 10, 11, 12)} | {(20, 20)}
+
+
+def test_every_slip_meets_in_a_shard(spark):
+    draw = random.Random(5)
+    words = {"".join(draw.choice("abc") for _ in range(draw.randrange(3, 10))) for _ in range(150)}
+    words |= {w[:i] + w[i + 1] + w[i] + w[i + 2 :] for w in list(words)[:60] for i in range(len(w) - 1)} | {w[:i] + w[i + 1 :] for w in list(words)[:40] for i in range(len(w))}
+    words = sorted(w for w in words if len(w) >= 3)
+    got = {(r["left_family"], r["right_family"]) for r in trie_join(spark.createDataFrame([("g", w) for w in words], "given string, family string")).collect()}
+    assert got == {(a, b) for a in words for b in words if a < b and _edit_one(a, b)}
+
+
 def test_folding():
     assert fold("StÃ¼tÃ¡grÃ©") == "stutagre" and fold("Ünö") == "uno" and fold("Ãx") == "ax"
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Sequence
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,17 +55,29 @@ _LOCAL: dict[str, str] = {}
 _KNOWN: set[str] = set()
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
+def checkpointed(df: DataFrame, replaces: Sequence[DataFrame] = ()) -> DataFrame:
     """Cuts lineage by a table written to the shared folder, so that lost executors cost no recomputation and what is
     read several times is computed once.
 
     A table and not ``checkpoint()``: that keeps the estimated size of the plan, which joins multiply round by round
     until the number itself is too long to compute with, while a table has the size of its files, and joins with small
-    ones are planned as such. Columns need distinct names.
+    ones are planned as such. Columns need distinct names. Tables of this kind that the new one ``replaces``, so that
+    nothing reads them any more, are removed once it is written.
     """
     path = f"{_shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _TABLES[out] = path
+    jvm = df.sparkSession.sparkContext._jvm
+    for old in replaces:
+        if (folder := _TABLES.pop(old, None)) is not None:
+            gone = jvm.org.apache.hadoop.fs.Path(folder)
+            gone.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(gone, True)
+    return out
+
+
+#: Folders of the tables that are still referred to.
+_TABLES: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def parallelism(spark: SparkSession) -> int:

@@ -108,8 +108,8 @@ def parse_document(text: str | None):
     return None
 
 
-def _scalar(value) -> str:
-    return json.dumps(value, ensure_ascii=False)
+#: JSON spelling of a scalar; the encoder is made once.
+_scalar = json.JSONEncoder(ensure_ascii=False).encode
 
 
 def _digest(text: str) -> bytes:
@@ -153,7 +153,8 @@ class Merkle:
         for name, field in fields:
             if isinstance(field, dict):
                 kid = self.of[id(field)]
-                links.append((name, "object", 0, kid))
+                if self.store:
+                    links.append((name, "object", 0, kid))
                 parts.append(f"{_scalar(name)}:o{kid.hex()}")
             elif isinstance(field, list):
                 kids = []
@@ -164,8 +165,9 @@ class Merkle:
                         kids.append(_digest("s" + _scalar(x)))
                         if self.store:
                             self.nodes[kids[-1]] = ("scalar", _scalar(x))
-                links.append((name, "array", len(kids), None))
-                links.extend((name, "item", i, kid) for i, kid in enumerate(kids))
+                if self.store:
+                    links.append((name, "array", len(kids), None))
+                    links.extend((name, "item", i, kid) for i, kid in enumerate(kids))
                 parts.append(f"{_scalar(name)}:a{','.join(k.hex() for k in kids)}")
             else:
                 payload[name] = field
@@ -173,7 +175,7 @@ class Merkle:
         kind = "object" if isinstance(value, dict) else "array"
         self.of[id(value)] = own = _digest(("{" if kind == "object" else "[") + ";".join(parts))
         if self.store:
-            self.nodes[own] = (kind, json.dumps(payload, ensure_ascii=False))
+            self.nodes[own] = (kind, _scalar(payload))
             self.edges[own] = links
 
 

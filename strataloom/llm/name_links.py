@@ -132,27 +132,33 @@ class Trie:
                 node = node.setdefault(c, {})
             node[""] = word
 
-    def near(self, word: str) -> list[str]:
-        """The words at most one slip from ``word``, itself included. The automaton's state is the row of distances to the
-        trie's path, cut where all of the row exceeds 1."""
-        n, found = len(word), []
-        stack = [(self.root, tuple(range(n + 1)), None, "")]
-        while stack:
-            node, row, above, last = stack.pop()
+    def near(self, word: str) -> set[str]:
+        """The words at most one slip from ``word``, itself included. The automaton has a state without error, which follows
+        the word's letters down the trie, and branches from it into the state with one, which follows the rest exactly."""
+        found: set[str] = set()
+        n, node, i = len(word), self.root, 0
+
+        def rest(node: dict | None, i: int) -> None:
+            while node is not None and i < n:
+                node = node.get(word[i])
+                i += 1
+            if node is not None and "" in node:
+                found.add(node[""])
+
+        while node is not None:
             for c, child in node.items():
-                if c == "":
-                    if row[n] <= 1:
-                        found.append(child)
-                    continue
-                new = [row[0] + 1]
-                for i in range(1, n + 1):
-                    d = min(row[i] + 1, new[i - 1] + 1, row[i - 1] + (word[i - 1] != c))
-                    if above is not None and i > 1 and word[i - 1] == last and word[i - 2] == c:
-                        d = min(d, above[i - 2] + 1)
-                    new.append(d)
-                # a swap may still bring the row back under the bound one character further on
-                if min(new) <= 1 or (min(row) <= 1 and min(new) == 2):
-                    stack.append((child, tuple(new), row, c))
+                if c:
+                    rest(child, i)
+                    if i < n and c != word[i]:
+                        rest(child, i + 1)
+            if i == n:
+                rest(node, n)
+                break
+            rest(node, i + 1)
+            if i + 1 < n and (swapped := node.get(word[i + 1])) is not None:
+                rest(swapped.get(word[i]), i + 2)
+            node = node.get(word[i])
+            i += 1
         return found
 
 

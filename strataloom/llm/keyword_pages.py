@@ -11,6 +11,7 @@ which aren't cases, count as structure.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,11 +44,10 @@ _STRUCTURE = re.compile(
       | ^\s*[\w.$-]+\s*=\s*\S | ^\s*at\s+\w+\. | ^\s*"[^"]+"\s*: | ^[^|]*\|[^|]*\|.*\d[^|]*\|\s*$""",
     re.X,
 )
-#: Words in lower case; those between two words with a blank, or a mark and a blank, on either side; lines with a
-#: sentence mark. In the syntax of the JVM.
-_LOWER = r"(?<![\p{L}\p{M}\p{N}'’_])\p{Ll}[\p{L}\p{M}'’]*(?![\p{L}\p{M}\p{N}'’_])"
-_INNER = r"(?<=[\p{L}\p{M}\p{N}`)\]”\"][,;:]{0,1} )\p{Ll}[\p{L}\p{M}'’]*(?= [\p{L}\p{N}`(\[“\"¿])"
-_MARK = r"[\p{L}\p{N}`)\"'][.!?…](?:\s|$)"
+#: A line with a sentence mark; words, and what may stand before and after a word within a run of words.
+_MARK = re.compile(r"[\w`)\"'][.!?…](?:\s|$)")
+_ANY_WORD = re.compile(r"[^\W\d_](?:['’]?[^\W\d_])*")
+_BEFORE, _AFTER = frozenset(",;:)]`\"”"), frozenset("`([\"“¿")
 
 
 def repeated_spans(symbols: list[int], weights: list[int], shortest: int) -> int:
@@ -148,6 +148,11 @@ def _size(text: str) -> int:
     return sum(len(x) for x in _RUN.findall(text) if (1 < len(x) <= LONGEST_WORD) or _UNSPACED.match(x))
 
 
+def _visible(text: str) -> int:
+    """Characters that aren't blanks."""
+    return sum(map(len, text.split()))
+
+
 def written_clause(segment: str, words: list[str]) -> bool:
     """Whether a segment is written like a clause: in spaced scripts at least five words, the first with a capital (where
     the script has them) and most others in lower case, plain gaps between most of them, a mark at its end, and hardly a word
@@ -204,7 +209,7 @@ def coverage(pieces: list[tuple[str, bool]]) -> float:
     texts = [(re.sub(r"\s+", " ", piece.lower()) + "\n", loose) for piece, loose in pieces]
     symbols = [ord(c) for piece, _ in texts for c in piece]
     weights = [int(loose and not c.isspace()) for piece, loose in texts for c in piece]
-    visible = sum(not c.isspace() for piece, _ in texts for c in piece)
+    visible = sum(_visible(piece) for piece, _ in texts)
     shortest = max(4, round(len(symbols).bit_length() / 2))
     spans = repeated_spans if len(symbols) <= LONGEST_AUTOMATON else repeated_spans_by_sorting
     return spans(symbols, weights, shortest) / max(1, visible)
@@ -221,8 +226,7 @@ def measures(text: str, clause_words: frozenset[str] = frozenset()) -> dict[str,
     ``repeat`` is 0.
     """
     shares, pieces = parts(text, clause_words)
-    visible = sum(not c.isspace() for c in text)
-    loose = sum(not c.isspace() for piece, is_loose in pieces if is_loose for c in piece)
+    visible, loose = _visible(text), sum(_visible(piece) for piece, is_loose in pieces if is_loose)
     return shares | {"repeat": coverage(pieces) if loose >= LEAST_COVERAGE * visible else 0.0}
 
 
@@ -234,18 +238,52 @@ def is_keyword_page(m: dict[str, float], least_words: int = LEAST_WORDS) -> bool
     return m["free"] + m["link"] > 0.5 and m["repeat"] >= LEAST_COVERAGE
 
 
+def word_uses(text: str) -> tuple[list[str], list[str], list[str]]:
+    """The words in lower case of a text: all uses, those within a run of words (a blank, or a mark and a blank, between it
+    and a word on either side), and those in lines with a sentence mark."""
+    uses: list[str] = []
+    inner: list[str] = []
+    marked: list[str] = []
+    for line in text.split("\n"):
+        tokens = line.split()
+        last, first = len(tokens) - 1, len(uses)
+        for i, token in enumerate(tokens):
+            if not token.isalpha():
+                words = [w for w in _ANY_WORD.findall(token) if w.islower()]
+                uses += words
+                if words != [token]:
+                    continue
+            elif token.islower():
+                uses.append(token)
+            else:
+                continue
+            if 0 < i < last:
+                before, after = tokens[i - 1][-1], tokens[i + 1][0]
+                if (before in _BEFORE or before.isalnum()) and (after in _AFTER or after.isalnum()):
+                    inner.append(token)
+        if len(uses) > first and _MARK.search(line):
+            marked += uses[first:]
+    return uses, inner, marked
+
+
 def clause_words(docs: DataFrame, text_col: str = "text") -> frozenset[str]:
     """The words that the texts of a table use within clauses and hardly anywhere else, whatever the language.
 
-    One pass over all lines in the JVM, one aggregation combined map-side; at most ``MOST_WORDS`` words, the most frequent
+    One pass over all lines, counts per batch, one aggregation; at most ``MOST_WORDS`` words, the most frequent
     ones, reach the driver, and function words are among the most frequent of any language.
     """
-    lines = docs.select(F.explode(F.split(F.col(text_col).cast("string"), "\n")).alias("line"))
-    marked = F.col("line").rlike(_MARK)
-    uses = F.transform(F.regexp_extract_all("line", F.lit(_LOWER), F.lit(0)), lambda w: F.struct(w.alias("word"), F.lit(1).alias("n"), F.lit(0).alias("inner"), marked.cast("int").alias("marked")))
-    inner = F.transform(F.regexp_extract_all("line", F.lit(_INNER), F.lit(0)), lambda w: F.struct(w.alias("word"), F.lit(0).alias("n"), F.lit(1).alias("inner"), F.lit(0).alias("marked")))
-    rows = lines.select(F.explode(F.concat(uses, inner)).alias("u")).select("u.*")
-    counts = rows.groupBy("word").agg(*[F.sum(c).alias(c) for c in ("n", "inner", "marked")])
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            totals = Counter(), Counter(), Counter()
+            for text in batch["page"]:
+                for counter, words in zip(totals, word_uses(text)):
+                    counter.update(words)
+            words = list(totals[0])
+            yield pd.DataFrame({"word": words} | {name: [c[w] for w in words] for name, c in zip(("n", "inner", "marked"), totals)}).astype({"word": object, "n": "int64", "inner": "int64", "marked": "int64"})
+
+    texts = docs.select(F.col(text_col).cast("string").alias("page")).where("page is not null")
+    counts = spread(texts).mapInPandas(count, "word string, n bigint, inner bigint, marked bigint").groupBy("word").agg(*[F.sum(c).alias(c) for c in ("n", "inner", "marked")])
     chosen = counts.where((F.col("n") >= LEAST_USES) & (F.col("inner") >= F.col("n") * WITHIN) & (F.col("marked") >= F.col("n") * MARKED))
     return frozenset(r["word"] for r in chosen.orderBy(F.desc("n"), "word").limit(MOST_WORDS).collect())
 

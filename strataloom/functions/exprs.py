@@ -58,6 +58,16 @@ def author_email(author: Column | str) -> Column:
     return F.regexp_extract(author, "(.*) <(.*)>", 2)
 
 
+def synthetic_author(name: Column | str, email: Column | str) -> Column:
+    """``Name <address>`` out of both, null if either is."""
+    return F.concat(name, F.lit(" <"), email, F.lit(">"))
+
+
+def percent_capped(part: Column, whole: Column) -> Column:
+    """``percent`` with what exceeds 100 cut to 100."""
+    return F.least(percent(part, whole), F.lit(100.0))
+
+
 def email_domain(email: Column | str) -> Column:
     return F.regexp_extract(email, "(.*)@(.*)", 2)
 

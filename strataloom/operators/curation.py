@@ -49,6 +49,17 @@ def repo_extension(files: DataFrame) -> DataFrame:
     )
 
 
+def repo_extension_rows(files: DataFrame) -> DataFrame:
+    """``repo_extension`` in its older form: the rows of a repository and extension are counted, without commits."""
+    keys = ["owner", "repo_name", file_extension("file_path").alias("extension")]
+    return files.where("is_binary = 0").groupBy(*keys).agg(F.sum("total_inserts").alias("total_inserts"), F.sum("total_deletes").alias("total_deletes"), F.count("*").alias("num_files"))
+
+
+def report(df: DataFrame, path: str, order: list[str], files: int = 1) -> None:
+    """Writes a report in order: sorted as a whole, as so many files (several keep the order within each)."""
+    df.orderBy(*order).coalesce(files).write.mode("overwrite").parquet(path)
+
+
 def repo_hacker(commits: DataFrame) -> DataFrame:
     """Per repository, author and extension, binary files included: distinct paths and inserted lines."""
     return commits.groupBy("owner", "repo_name", "partition_key", "owner_repo", "author", file_extension("file_path").alias("extension")).agg(

@@ -133,3 +133,42 @@ def confusion(predicted: DataFrame, label: str = "label") -> DataFrame:
 
 def scores(predicted: DataFrame, id_col: str, label: str = "label") -> DataFrame:
     return predicted.select(id_col, F.col(label).cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction"), F.array_max(vector_to_array("probability")).alias("score"))
+
+
+def shares(rows: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
+    """``rows`` with ``name``, the share of ``value`` in its sum over the keys."""
+    from pyspark.sql.window import Window
+
+    return rows.withColumn(name, F.col(value) / F.sum(value).over(Window.partitionBy(*keys)))
+
+
+def training_rows(features: DataFrame, labels: DataFrame, columns: list[str], on: str = "commit_id") -> DataFrame:
+    """Labelled vectors: the log1p vectors of the features of each labelled row; labels without features are left out."""
+    return labels.select(on, "label").join(log_vectors(features, columns, on), on)
+
+
+def cross_validated(rows: DataFrame, regularisations: list[float], label: str = "label", folds: int = 5, seed: int = 0) -> DataFrame:
+    """Mean accuracy of a logistic regression over so many folds, per regularisation."""
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+
+    model = LogisticRegression(labelCol=label, maxIter=30)
+    grid = ParamGridBuilder().addGrid(model.regParam, regularisations).build()
+    fitted = CrossValidator(estimator=model, estimatorParamMaps=grid, evaluator=MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy"), numFolds=folds, seed=seed).fit(rows)
+    return rows.sparkSession.createDataFrame([(float(r), float(a)) for r, a in zip(regularisations, fitted.avgMetrics)], "regularisation double, accuracy double")
+
+
+def saved(model, path: str):
+    """Writes a fitted model and reads it again, whatever its class."""
+    model.write().overwrite().save(path)
+    return type(model).load(path)
+
+
+def author_histories(vectors: DataFrame, models: dict, who: str = "author") -> DataFrame:
+    """Labels that each model (name -> fitted model) gives an author's rows, with counts, most frequent first: model, who,
+    total, history."""
+    parts = [label_histories(model.transform(vectors).select(who, F.col("prediction").cast("int").alias("label")), who, "label").withColumn("model", F.lit(name)) for name, model in models.items()]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out

@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from strataloom.functions.exprs import author_email, author_name, email_domain
 
 
+#: Fixed value: the account of aliases that can't be resolved.
+UNRESOLVABLE = "<UNABLE_TO_RESOLVE>"
+
+
 def _pairs(authors: DataFrame, on: str, other: str) -> DataFrame:
     left = authors.select(F.col("author").alias("left_author"), F.col(on).alias("k"), F.col(other).alias("l"))
     right = authors.select(F.col("author").alias("right_author"), F.col(on).alias("k"), F.col(other).alias("r"))
@@ -54,7 +58,7 @@ def at_risk_repos(repo_hacker: DataFrame, targets: DataFrame) -> DataFrame:
     return rows.select("owner", "repo_name", "partition_key", "owner_repo", F.regexp_extract("author", pattern, 1).alias("author_name"), F.regexp_extract("author", pattern, 3).alias("author_email_domain"), F.md5(author_email("author")).alias("author_email_hash")).distinct()
 
 
-def shared_commit_ids(commits: DataFrame, aliases: DataFrame, unresolved: str = "<UNABLE_TO_RESOLVE>") -> DataFrame:
+def shared_commit_ids(commits: DataFrame, aliases: DataFrame, unresolved: str = UNRESOLVABLE) -> DataFrame:
     """Aliases without account that committed what a resolved alias committed: alias id and the account it takes."""
     known = aliases.where(F.col("github_user_id").isNotNull() & (F.col("github_user_id") != unresolved)).select(F.col("id").alias("alias_id"), "github_user_id").distinct()
     open_ids = aliases.groupBy("id").agg(F.max("github_user_id").alias("g")).where("g is null").select(F.col("id").alias("alias_id"))

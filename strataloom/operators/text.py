@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from strataloom.functions.exprs import file_extension
+
 #: How each language names what a file depends on; the first group is the name.
 IMPORTS = {
     "java": r"(?m)^\s*import\s+(?:static\s+)?([\w.]+(?:\.\*)?)\s*;",
@@ -52,10 +54,11 @@ def word_counts(docs: DataFrame, group: str, text_col: str = "text") -> DataFram
     return words(docs, group, text_col).groupBy(group, "word").agg(F.count("*").alias("n"))
 
 
-def tfidf(counts: DataFrame, group: str, term: str, n: str) -> DataFrame:
-    """Weights (1 + ln tf) * (ln((1 + N) / (1 + df)) + 1), scaled to length 1 per group."""
+def tfidf(counts: DataFrame, group: str, term: str, n: str, min_df: int = 1, max_df: float = 1.0) -> DataFrame:
+    """Weights (1 + ln tf) * (ln((1 + N) / (1 + df)) + 1), scaled to length 1 per group, of the terms that at least
+    ``min_df`` groups and at most the share ``max_df`` of them have."""
     total = counts.agg(F.countDistinct(group)).scalar()
-    df = counts.groupBy(term).agg(F.countDistinct(group).alias("df"))
+    df = counts.groupBy(term).agg(F.countDistinct(group).alias("df")).where((F.col("df") >= min_df) & (F.col("df") <= max_df * total))
     weight = (1 + F.log(n)) * (F.log((1 + total) / (1 + F.col("df"))) + 1)
     rows = counts.join(df, term).select(group, term, weight.alias("_weight"))
     norm = rows.groupBy(group).agg(F.sqrt(F.sum(F.col("_weight") * F.col("_weight"))).alias("norm"))
@@ -66,3 +69,36 @@ def top_terms(weights: DataFrame, group: str, term: str, k: int, above: float) -
     """The k heaviest terms of each group above a weight, ties by term; a top-k report."""
     rank = F.row_number().over(Window.partitionBy(group).orderBy(F.desc("tfidf"), term))
     return weights.where(F.col("tfidf") > above).withColumn("rank", rank).where(F.col("rank") <= k)
+
+
+#: The suffixes of the languages whose imports can be read.
+LANGUAGE_OF = {
+    ".java": ["java"], ".py": ["python", "python_from"], ".js": ["javascript", "javascript_require"], ".jsx": ["javascript", "javascript_require"], ".ts": ["javascript", "javascript_require"],
+    ".tsx": ["javascript", "javascript_require"], ".go": ["go"], ".scala": ["scala"], ".c": ["c"], ".h": ["c"], ".cc": ["c"], ".cpp": ["c"], ".rs": ["rust"],
+}
+
+
+def file_imports(files: DataFrame, path_col: str = "file_path", text_col: str = "text") -> DataFrame:
+    """``files`` with ``dependencies``, read by the analyzer of each path's suffix in lower case; an empty array where there
+    is none, null where the text is."""
+    suffix = F.lower(file_extension(path_col))
+    read = F.when(F.col(text_col).isNull(), F.lit(None))
+    for language in IMPORTS:
+        suffixes = [s for s, languages in LANGUAGE_OF.items() if languages[0] == language]
+        if suffixes:
+            read = read.when(suffix.isin(suffixes), F.concat(*[imports(F.col(text_col), x) for x in LANGUAGE_OF[suffixes[0]]]))
+    return files.withColumn("dependencies", read.otherwise(F.array().cast("array<string>")))
+
+
+def bayes_confusion(docs: DataFrame, features: int = 1 << 16, test_share: float = 0.33, seed: int = 0) -> DataFrame:
+    """Held-out confusion (label, prediction, n) of a multinomial naive Bayes over hashed TF-IDF words of labelled texts."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import NaiveBayes
+    from pyspark.ml.feature import IDF, HashingTF, IndexToString, RegexTokenizer, StringIndexer
+
+    index = StringIndexer(inputCol="label", outputCol="label_no").fit(docs)
+    train, test = index.transform(docs).randomSplit([1 - test_share, test_share], seed)
+    steps = [RegexTokenizer(inputCol="text", outputCol="words", pattern=r"[^\p{L}\p{N}]+"), HashingTF(inputCol="words", outputCol="counts", numFeatures=features), IDF(inputCol="counts", outputCol="features"), NaiveBayes(labelCol="label_no")]
+    found = Pipeline(stages=steps).fit(train).transform(test)
+    named = IndexToString(inputCol="prediction", outputCol="told", labels=index.labels).transform(found)
+    return named.groupBy("label", F.col("told").alias("prediction")).agg(F.count("*").alias("n"))

@@ -6,13 +6,18 @@ pair of minimum rank from the left, until no word has a pair left. The step numb
 changed count as new. A pair that occurs several times in a word is
 contracted at all its places in one step, from the left and without overlap: merges that use the new token rank behind
 the one that made it, so this is what contracting one place at a time comes to.
+
+A long word would need as many steps as it has different merges, each over all of it. It is cut into chunks that are
+encoded like words, and neighbouring chunks are joined pairwise: ids are those of their text if and only if every two
+neighbours among them are the ids of theirs, so that only the seams are looked at, and a window around a seam that doesn't
+hold is encoded anew, wider until its ends hold.
 """
 
 from __future__ import annotations
 
 import json
 import os
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +31,8 @@ from strataloom.session import spread, tokenizer_dir
 WORDS = regex.compile(r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 #: Bytes of texts handled at once, bytes of new words given to one query, and words kept between slices.
 SLICE_BYTES, QUERY_BYTES, KEEP_WORDS = 2 << 20, 256 << 10, 150_000
+#: Words of more bytes are cut into chunks of so many; tokens on either side of a seam that are encoded anew first.
+CHUNK_BYTES, SEAM_TOKENS = 400, 8
 
 _CONTRACT = """
 with recursive t(word, pos, tok, step) using key (word, pos) as (
@@ -87,41 +94,87 @@ class Tokenizer:
         tokens = [(i, bytes(back[c] for c in s)) for s, i in vocab.items() if all(c in back for c in s)]
         token = pa.table({"id": pa.array([i for i, _ in tokens], pa.int32()), "hex": pa.array([b.hex() for _, b in tokens])})
         self.db.execute("create table token as select * from token")
+        self.token_bytes = dict(tokens)
         self.known: dict[str, list[int]] = {}
+        self.pieces: dict[bytes, list[int]] = {}
 
-    def _contract(self, words: list[str]) -> None:
-        data = [w.encode("utf-8", "surrogatepass") for w in words]
-        lengths = np.array([len(b) for b in data])
+    def _contract(self, words: list[bytes]) -> None:
+        lengths = np.array([len(b) for b in words])
         first = np.cumsum(lengths) - lengths
         start = pa.table(
             {
                 "word": np.repeat(np.arange(len(words), dtype=np.int32), lengths),
                 "pos": (np.arange(lengths.sum()) - np.repeat(first, lengths)).astype(np.int32),
-                "tok": self.byte_ids[np.frombuffer(b"".join(data), dtype=np.uint8)],
+                "tok": self.byte_ids[np.frombuffer(b"".join(words), dtype=np.uint8)],
             }
         )
         self.db.register("start", start)
         found = self.db.sql(_CONTRACT).to_arrow_table()
         self.db.unregister("start")
         for word, ids in zip(found["word"].to_pylist(), found["ids"].to_pylist()):
-            self.known[words[word]] = ids
+            self.pieces[words[word]] = ids
 
-    def learn(self, words: set[str]) -> None:
-        """Encodes the words that aren't known yet, a bounded number of bytes at a time."""
-        if len(self.known) > KEEP_WORDS:
-            self.known.clear()
+    def _learn_pieces(self, pieces: Iterable[bytes]) -> None:
+        """Encodes the pieces that aren't known yet, a bounded number of bytes at a time."""
         part, held = [], 0
-        for word in words:
-            if word in self.known:
+        for piece in dict.fromkeys(pieces):
+            if piece in self.pieces:
                 continue
-            part.append(word)
-            held += len(word)
+            part.append(piece)
+            held += len(piece)
             if held > QUERY_BYTES:
                 self._contract(part)
                 part, held = [], 0
         if part:
             self._contract(part)
 
+    def _bytes(self, ids: list[int]) -> bytes:
+        return b"".join(self.token_bytes[i] for i in ids)
+
+    def _joined(self, pairs: list[tuple[list[int], list[int]]]) -> list[list[int]]:
+        """The ids of the text of each two neighbouring runs of ids, each of which is right on its own."""
+        out: list[list[int] | None] = [None] * len(pairs)
+        width = dict.fromkeys(range(len(pairs)), 0)
+        while width:
+            windows = {i: (pairs[i][0][-k:] if k else [], pairs[i][1][:k]) for i, k in width.items()}
+            anew = {i: self._bytes(a + b) for i, (a, b) in windows.items() if width[i]}
+            self._learn_pieces(anew.values())
+            tried, seams = {}, {}
+            for i, k in width.items():
+                a, b = pairs[i]
+                head, middle, tail = (a[:-k], self.pieces[anew[i]], b[k:]) if k else (a, [], b)
+                tried[i] = head + middle + tail
+                ends = [head[-1:] + middle[:1], middle[-1:] + tail[:1]] if k else [head[-1:] + tail[:1]]
+                seams[i] = [e for e in ends if len(e) == 2]
+            self._learn_pieces(self._bytes(e) for ends in seams.values() for e in ends)
+            for i in list(width):
+                if all(self.pieces[self._bytes(e)] == e for e in seams[i]):
+                    out[i] = tried[i]
+                    del width[i]
+                else:
+                    width[i] = max(SEAM_TOKENS, 2 * width[i])
+        return out
+
+    def _long(self, word: bytes) -> list[int]:
+        chunks = [word[i : i + CHUNK_BYTES] for i in range(0, len(word), CHUNK_BYTES)]
+        self._learn_pieces(chunks)
+        runs = [self.pieces[c] for c in chunks]
+        while len(runs) > 1:
+            joined = self._joined(list(zip(runs[::2], runs[1::2])))
+            runs = joined + (runs[-1:] if len(runs) % 2 else [])
+        return runs[0]
+
+    def learn(self, words: set[str]) -> None:
+        """Encodes the words that aren't known yet."""
+        if len(self.known) > KEEP_WORDS:
+            self.known.clear()
+        if len(self.pieces) > KEEP_WORDS:
+            self.pieces.clear()
+        data = {w: w.encode("utf-8", "surrogatepass") for w in words if w not in self.known}
+        self._learn_pieces(b for b in data.values() if len(b) <= CHUNK_BYTES)
+        for word, b in data.items():
+            self.known[word] = self.pieces[b] if len(b) <= CHUNK_BYTES else self._long(b)
+
     def encode(self, texts: list[str | None]) -> list[list[int]]:
         """Ids of each text, without special tokens, whose strings are ordinary text; null and '' give []."""
         split = [WORDS.findall(t) if t else [] for t in texts]

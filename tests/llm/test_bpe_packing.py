@@ -1,5 +1,6 @@
 import json
 import os
+import random
 
 import pytest
 from hypothesis import given, settings
@@ -30,6 +31,15 @@ def test_ids_are_the_librarys(own, library):
     assert own.decode(own.encode(TEXTS)) == TEXTS
 
 
+def test_long_words_are_joined_at_their_seams(own, library):
+    draw = random.Random(1)
+    letters = ["abcdefghijklmnopqrstuvwxyz", "0123456789abcdef", "ab", "中文字符测试语言模型数据", "аеиостнрлвк", "=-_", "ingtherationINGTION"]
+    texts = ["".join(draw.choice(a) for _ in range(n)) for a in letters for n in (390, 401, 1300, 6000)]
+    texts += ["x" * 5000, " " * 3000, "international" * 300, "a" * 399 + "é" * 500]
+    assert own.encode(texts) == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert own.decode(own.encode(texts)) == texts
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.text(max_size=60))
 def test_any_text_round_trips(own, library, text):

@@ -391,13 +391,22 @@ def trie_join(keys: DataFrame) -> DataFrame:
         for e, fits in ((3, n >= 7), (2, n.between(5, 7)), (1, n <= 5))
     ]))) ).alias("shard"))
 
-    def join(group: pd.DataFrame) -> pd.DataFrame:
-        pairs = trie_neighbours(sorted(set(group["family"])))
-        return pd.DataFrame({"given": group["given"].iloc[0], "left_family": [a for a, _ in pairs], "right_family": [b for _, b in pairs]}, dtype=object)
-
-    # a stated number of partitions: the shards are few bytes but much work, and aren't to be merged into one task
-    dealt = sharded.repartition(2 * parallelism(keys.sparkSession), "given", "shard")
-    return dealt.groupBy("given", "shard").applyInPandas(join, "given string, left_family string, right_family string").distinct()
+    def join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, names = None, []
+        for batch in batches:
+            out: list[tuple[str, str, str]] = []
+            for given, shard, family in zip(batch["given"], batch["shard"], batch["family"]):
+                if (given, shard) != at:
+                    out += [(at[0], a, b) for a, b in trie_neighbours(names)] if len(names) > 1 else []
+                    at, names = (given, shard), []
+                names.append(family)
+            yield pd.DataFrame(out, columns=["given", "left_family", "right_family"], dtype=object)
+        if len(names) > 1:
+            yield pd.DataFrame([(at[0], a, b) for a, b in trie_neighbours(names)], columns=["given", "left_family", "right_family"], dtype=object)
+
+    # the shards of a partition come one behind the other; a stated number of partitions, as they are few bytes but much work
+    dealt = sharded.repartition(2 * parallelism(keys.sparkSession), "given", "shard").sortWithinPartitions("given", "shard")
+    return dealt.mapInPandas(join, "given string, left_family string, right_family string").distinct()
 
 
 def persons(aliases: DataFrame, id_col: str = "id", name_col: str = "name", least_count: int = 20, least_families: int = 3, most_names: int = 200_000) -> DataFrame:

@@ -283,7 +283,7 @@ def clause_words(docs: DataFrame, text_col: str = "text") -> frozenset[str]:
             yield pd.DataFrame({"word": words} | {name: [c[w] for w in words] for name, c in zip(("n", "inner", "marked"), totals)}).astype({"word": object, "n": "int64", "inner": "int64", "marked": "int64"})
 
     texts = docs.select(F.col(text_col).cast("string").alias("page")).where("page is not null")
-    counts = spread(texts).mapInPandas(count, "word string, n bigint, inner bigint, marked bigint").groupBy("word").agg(*[F.sum(c).alias(c) for c in ("n", "inner", "marked")])
+    counts = texts.mapInPandas(count, "word string, n bigint, inner bigint, marked bigint").groupBy("word").agg(*[F.sum(c).alias(c) for c in ("n", "inner", "marked")])
     chosen = counts.where((F.col("n") >= LEAST_USES) & (F.col("inner") >= F.col("n") * WITHIN) & (F.col("marked") >= F.col("n") * MARKED))
     return frozenset(r["word"] for r in chosen.orderBy(F.desc("n"), "word").limit(MOST_WORDS).collect())
 

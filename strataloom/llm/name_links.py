@@ -452,8 +452,11 @@ def persons(aliases: DataFrame, id_col: str = "id", name_col: str = "name", leas
     uses = counts.select("token", F.col("n").alias("uses"))
     shown = shown.join(uses, "token", "left").join(uses.select(F.col("token").alias("other"), F.col("uses").alias("other_uses")), "other", "left").collect()
     learned = short_forms([(r["token"], r["other"], r["families"]) for r in shown], {name: n or 0 for r in shown for name, n in ((r["token"], r["uses"]), (r["other"], r["other_uses"]))}, least_families)
-    seeds = {short: learned.get(full, full) for short, full in NICKNAMES.items() if short not in learned and learned.get(full, full) != short}
-    known = spark.sparkContext.broadcast(({r["token"] for r in frequent.collect()} - NO_PERSON, seeds | learned))
+    names = {r["token"] for r in frequent.collect()} - NO_PERSON
+    # an everyday form that the table lacks but that begins like one of its names would make slips of that name ambiguous
+    begun = {name[:4] for name in names}
+    seeds = {short: learned.get(full, full) for short, full in NICKNAMES.items() if short not in learned and learned.get(full, full) != short and (full in names or full[:4] not in begun)}
+    known = spark.sparkContext.broadcast((names, seeds | learned))
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         given = Given(*known.value)

@@ -142,3 +142,18 @@ def fill_report(contents: DataFrame, kinds: DataFrame) -> DataFrame:
     """Per kind: containers, tokens and the share of capacity in use."""
     used = contents.groupBy("container_kind", "container_id").agg(F.sum("n_tokens").alias("used")).groupBy("container_kind").agg(F.count("*").alias("n_containers"), F.sum("used").alias("n_tokens"))
     return used.join(kinds.select("container_kind", "capacity_tokens").distinct(), "container_kind").select("container_kind", "n_containers", "n_tokens", (F.col("n_tokens") / (F.col("n_containers") * F.col("capacity_tokens"))).alias("fill"))
+
+
+def packing_faults(contents: DataFrame, sizes: DataFrame, kinds: DataFrame, id_col: str = "doc_id", size_col: str = "n_tokens") -> DataFrame:
+    """Per kind what must hold: n_items packed, and of those the ones whose pieces don't add up, that are split needlessly or
+    that have wrongly placed pieces, and the containers above their capacity. Items need distinct ids."""
+    capacity = kinds.select("container_kind", "capacity_tokens").distinct()
+    by_item = contents.join(capacity, "container_kind").groupBy("container_kind", "capacity_tokens", id_col).agg(
+        F.sum("n_tokens").alias("packed"), F.count("*").alias("pieces"), F.count_if(F.col("first_token") != F.col("piece_no") * F.col("capacity_tokens")).alias("misplaced")
+    )
+    held = by_item.join(sizes.select(id_col, F.coalesce(size_col, F.lit(0)).alias("size")), id_col)
+    items = held.groupBy("container_kind").agg(
+        F.count("*").alias("n_items"), F.count_if(F.col("packed") != F.col("size")).alias("wrong_sums"), F.count_if((F.col("pieces") > 1) & (F.col("size") <= F.col("capacity_tokens"))).alias("needless_splits"), F.count_if(F.col("misplaced") > 0).alias("misplaced")
+    )
+    used = contents.join(capacity, "container_kind").groupBy("container_kind", "container_id", "capacity_tokens").agg(F.sum("n_tokens").alias("used"))
+    return items.join(used.groupBy("container_kind").agg(F.count_if(F.col("used") > F.col("capacity_tokens")).alias("overfull")), "container_kind")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from strataloom.llm import bpe, clusters, generated_files, keyword_pages, name_links, packing
-from strataloom.session import table
+from strataloom.session import checkpointed, table
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
@@ -45,6 +45,11 @@ def p9_fill(spark: SparkSession, d: str) -> DataFrame:
     return packing.fill_report(p9_packed(spark, d), table(spark, d, "pack_container"))
 
 
+def p9_faults(spark: SparkSession, d: str) -> DataFrame:
+    sizes, kinds = checkpointed(packing.token_counts(table(spark, d, "documents"))), table(spark, d, "pack_container")
+    return packing.packing_faults(checkpointed(packing.packed(sizes, kinds)), sizes, kinds)
+
+
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return keyword_pages.keyword_pages(table(spark, d, "documents")).select("doc_id").distinct()
 
@@ -59,8 +64,10 @@ QUERIES = {
     "p8_round_trip": p8_round_trip,
     "p9_packed": p9_packed,
     "p9_fill": p9_fill,
+    "p9_faults": p9_faults,
     "p10_found": p10_found,
 }
 ORACLES = {
+    "p9_faults": "select container_kind, (select count(*) from documents) as n_items, 0 as wrong_sums, 0 as needless_splits, 0 as misplaced, 0 as overfull from (select distinct container_kind from pack_container)",
     "p8_round_trip": "select doc_id, coalesce(text, '') as text from documents",
 }

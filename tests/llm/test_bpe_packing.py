@@ -105,3 +105,11 @@ def test_packed_table(spark):
         assert max(used.values()) <= capacity and total / (len(used) * capacity) > 0.97
     assert {r["container_kind"] for r in rows} == {"s", "l"}
     assert packed(items.limit(0), kinds).isEmpty() and packed(items, kinds.limit(0)).isEmpty()
+
+
+def test_nothing_is_lost_and_little_is_left(spark):
+    from strataloom.llm.queries import p9_fill, p9_faults
+
+    folder = "/root/testdata/sf0.01"
+    assert {tuple(r)[2:] for r in p9_faults(spark, folder).collect()} == {(0, 0, 0, 0)}
+    assert all(r["fill"] > 0.97 for r in p9_fill(spark, folder).collect())

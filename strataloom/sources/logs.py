@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from datetime import datetime, timezone
 
 import pandas as pd
@@ -29,8 +29,23 @@ def type_of(path: str) -> str:
     return name.rpartition(".")[2].rstrip("}").lower() if "." in name[1:] else "noexttext"
 
 
-def parse_numstat(text: str) -> Iterator[dict]:
-    """Commits of a ``git log --numstat`` text. Merges without lines come out with empty maps; a date that can't be read
+def _numstat_line(line: str) -> tuple[str, int, int, bool] | None:
+    """(path, inserts, deletes, binary) of a numstat line."""
+    if m := re.match(r"(\d+|-)\t(\d+|-)\t(.+)$", line):
+        binary = m.group(1) == "-" or m.group(2) == "-"
+        return (m.group(3), 0, 0, True) if binary else (m.group(3), int(m.group(1)), int(m.group(2)), False)
+    return None
+
+
+def _stat_line(line: str) -> tuple[str, int, int, bool] | None:
+    """The same of a ``--stat`` line."""
+    found = parse_stat_line(line)
+    return found and (*found[:3], "| Bin" in re.sub(r"\|\s+", "| ", line))
+
+
+def parse_commits(text: str, read_line: Callable[[str], tuple[str, int, int, bool] | None] = _numstat_line, bare_binary: str = "noexttext") -> Iterator[dict]:
+    """Commits of a ``git log`` text whose lines of files are read by ``read_line``; binary files without a suffix have the
+    type ``bare_binary``. Merges without lines come out with empty maps; a date that can't be read
     is null; lines of any other form belong to the comment."""
     commit: dict | None = None
     for line in text.splitlines():
@@ -48,12 +63,12 @@ def parse_numstat(text: str) -> Iterator[dict]:
                 commit["date"], commit["orig_timezone"] = when.astimezone(timezone.utc), line.strip()[-5:]
             except ValueError:
                 pass
-        elif m := re.match(r"(\d+|-)\t(\d+|-)\t(.+)$", line):
-            binary = m.group(1) == "-" or m.group(2) == "-"
-            inserts, deletes = (0, 0) if binary else (int(m.group(1)), int(m.group(2)))
-            old = commit["file_list"].get(m.group(3))
-            commit["file_list"][m.group(3)] = {"binary": old["binary"] if old else int(binary), "inserts": inserts + (old["inserts"] if old else 0), "deletes": deletes + (old["deletes"] if old else 0)}
-            kind = commit["filetypes"].setdefault(type_of(m.group(3)), {"inserts": 0, "deletes": 0, "occurrences": 0})
+        elif (found := read_line(line)) is not None:
+            path, inserts, deletes, binary = found
+            old = commit["file_list"].get(path)
+            commit["file_list"][path] = {"binary": old["binary"] if old else int(binary), "inserts": inserts + (old["inserts"] if old else 0), "deletes": deletes + (old["deletes"] if old else 0)}
+            name = type_of(path)
+            kind = commit["filetypes"].setdefault(bare_binary if binary and name == "noexttext" else name, {"inserts": 0, "deletes": 0, "occurrences": 0})
             kind["inserts"] += inserts
             kind["deletes"] += deletes
             kind["occurrences"] += 1
@@ -63,12 +78,27 @@ def parse_numstat(text: str) -> Iterator[dict]:
         yield commit
 
 
-def numstat_commits(logs: DataFrame) -> DataFrame:
-    """Commits of whole-text logs (source, text)."""
+def parse_numstat(text: str) -> Iterator[dict]:
+    """Commits of a ``git log --numstat`` text."""
+    return parse_commits(text)
+
+
+def parse_stat(text: str) -> Iterator[dict]:
+    """Commits of a ``git log --stat`` text; lines inserted and deleted are what the signs shown say."""
+    return parse_commits(text, _stat_line, "noextbin")
+
+
+def stat_commits(logs: DataFrame) -> DataFrame:
+    """Commits of whole-text ``--stat`` logs (source, text)."""
+    return numstat_commits(logs, parse_stat)
+
+
+def numstat_commits(logs: DataFrame, parser: Callable[[str], Iterator[dict]] = parse_numstat) -> DataFrame:
+    """Commits of whole-text logs (source, text), by default with numstat lines."""
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [{"source": s} | c | {"comment": "\n".join(c["comment"]).strip()} for s, t in zip(batch["source"], batch["text"]) for c in parse_numstat(t or "")]
+            rows = [{"source": s} | c | {"comment": "\n".join(c["comment"]).strip()} for s, t in zip(batch["source"], batch["text"]) for c in parser(t or "")]
             out = pd.DataFrame(rows, columns=["source", "commit_id", "author", "date", "orig_timezone", "comment", "filetypes", "file_list"])
             out["date"] = pd.to_datetime(out["date"], utc=True).dt.tz_convert(None).astype("datetime64[us]")
             yield out
@@ -109,6 +139,19 @@ def blame_lines(porcelain: DataFrame) -> DataFrame:
     return rows.groupBy(*fields).agg(F.sum("lines").cast("int").alias("lines"))
 
 
+def fast_blame(porcelain: DataFrame) -> DataFrame:
+    """Per source and author the lines and commits of a porcelain blame (source, text), by its group headers alone: source,
+    author, line_count, commit_count. A header tells how many lines its group has; a commit's later groups have the header
+    line only and count for the author of its first one."""
+    head = r"(?m)^([0-9a-f]{40}) \d+ \d+ (\d+)$"
+    named = r"(?m)^([0-9a-f]{40}) \d+ \d+ \d+\nauthor ([^\n]*)\nauthor-mail <([^>\n]*)>"
+    groups = F.arrays_zip(*[F.regexp_extract_all("text", F.lit(head), F.lit(i)).alias(n) for i, n in ((1, "commit_id"), (2, "lines"))])
+    people = F.arrays_zip(*[F.regexp_extract_all("text", F.lit(named), F.lit(i)).alias(n) for i, n in ((1, "commit_id"), (2, "name"), (3, "mail"))])
+    rows = porcelain.select("source", F.explode(groups).alias("g")).groupBy("source", "g.commit_id").agg(F.sum(F.col("g.lines").cast("bigint")).alias("lines"))
+    who = porcelain.select("source", F.explode(people).alias("p")).select("source", "p.commit_id", F.concat("p.name", F.lit(" {"), "p.mail", F.lit("}")).alias("author")).distinct()
+    return rows.join(who, ["source", "commit_id"]).groupBy("source", "author").agg(F.sum("lines").alias("line_count"), F.countDistinct("commit_id").alias("commit_count"))
+
+
 def listing(lines: DataFrame, column: str = "value") -> DataFrame:
     """Object listing lines ``date time size .../owner/repo/file_type``: owner, repo_name, file_type, path, size."""
     part = F.split(F.trim(F.col(column)), " +")
@@ -134,3 +177,24 @@ def parse_stat_line(line: str) -> tuple[str, int, int, int] | None:
         inserts = round(changed * plus / (plus + minus)) if plus + minus else 0
         return m.group(1), inserts, changed - inserts if plus + minus else 0, 0
     return None
+
+
+#: Schema of commit documents as they are read from files.
+COMMIT_FILE = "commit string, Author string, Date string, comment string, fileTypes map<string,struct<inserts:bigint,deletes:bigint,occurrences:bigint>>"
+
+
+def commit_files(spark: SparkSession, path: str, name: str, start: int = 0, quant: int = 0, seed: int = 1) -> DataFrame:
+    """Commits of the JSON files called ``name`` below a folder, bz2 or plain: their fields, ``seen_in`` (owner/project of the
+    path), ``author_hash`` and the date in UTC.
+
+    With ``quant`` the files from ``start`` on of a seeded order, so many of them: a sampling of files.
+    """
+    reader = spark.read.option("multiLine", True).option("recursiveFileLookup", True).option("pathGlobFilter", name).schema(COMMIT_FILE)
+    rows = reader.json(path).withColumn("source", F.input_file_name())
+    if quant > 0:
+        files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", name).format("binaryFile").load(path).select(F.col("path").alias("file"))
+        chosen = files.orderBy(F.xxhash64(F.regexp_extract("file", "([^/]+/[^/]+/[^/]+)$", 1), F.lit(seed)), "file").offset(start).limit(quant)
+        last = F.regexp_extract("source", "([^/]+/[^/]+/[^/]+)$", 1)
+        rows = rows.join(chosen.select(F.regexp_extract("file", "([^/]+/[^/]+/[^/]+)$", 1).alias("_file")), last == F.col("_file"), "left_semi")
+    project = F.regexp_extract("source", "([^/]+/[^/]+)/[^/]+$", 1)
+    return rows.select("*", F.array(project).alias("seen_in"), F.md5("Author").alias("author_hash"), F.try_to_timestamp("Date").alias("utc_datetime"))

@@ -82,3 +82,21 @@ def file_stats(files: DataFrame, suffixes: dict[str, list[str]]) -> DataFrame:
         own = F.col("ext").isin(exts) & ~F.col("b")
         out += [F.count_if(own).alias(f"num_{name}_files"), F.coalesce(F.sum(F.when(own, F.col("lines"))), F.lit(0)).alias(f"num_{name}_locs")]
     return rows.agg(*out)
+
+
+def catalog_view(spark: SparkSession, database: str, name: str, view: str) -> DataFrame:
+    """A table of the session's catalog, under the name of a view."""
+    df = spark.table(f"`{database}`.`{name}`")
+    df.createOrReplaceTempView(view)
+    return df
+
+
+def jdbc_table(spark: SparkSession, url: str, name: str, key: str, low: int, high: int, parts: int, **options: str) -> DataFrame:
+    """A table of a relational database, read by ranges of an integer key in so many tasks. Rows outside of the bounds are
+    read by the outer tasks; the driver's class, user and the like are options."""
+    return spark.read.jdbc(url, name, column=key, lowerBound=low, upperBound=high, numPartitions=parts, properties=options)
+
+
+def jdbc_insert(df: DataFrame, url: str, name: str, batch: int = 100, **options: str) -> None:
+    """Inserts rows into a table of a relational database, so many a statement."""
+    df.write.jdbc(url, name, mode="append", properties={"batchsize": str(batch)} | options)

@@ -112,3 +112,63 @@ def test_models_are_kept_and_applied(spark, tmp_path):
     assert features.cross_validated(labelled, [0.0]).first()["accuracy"] > 0.95
     perceptron = features.classified(labelled, layers=[1, 4, 2])
     assert features.confusion(perceptron).where("label <> prediction").isEmpty()
+
+
+STAT = """commit aaaaaaa1
+Author: Ann <a@x>
+Date:   Fri Oct 22 01:39:41 2021 +0800
+
+    first line
+
+ src/a.py | 4 +++-
+ img/blob | Bin 10 -> 20 bytes
+ 2 files changed, 3 insertions(+), 1 deletion(-)
+commit bbbbbbb2
+Author: Bob <b@x>
+Date:   Fri Oct 22 01:39:41 2021 +0000
+
+    second"""
+
+
+def test_stat_logs_are_commits(spark):
+    rows = {r["commit_id"]: r for r in logs.stat_commits(spark.createDataFrame([("s", STAT), ("n", None)], "source string, text string")).collect()}
+    assert set(rows) == {"aaaaaaa1", "bbbbbbb2"}
+    first = rows["aaaaaaa1"]
+    assert tuple(first["file_list"]["src/a.py"]) == (0, 3, 1) and first["file_list"]["img/blob"]["binary"] == 1
+    assert set(first["filetypes"]) == {"py", "noextbin"} and first["comment"] == "first line" and rows["bbbbbbb2"]["file_list"] == {}
+
+
+def test_fast_blame_agrees_with_the_parser(spark):
+    def group(letter, name, lines, known):
+        head = [f"{letter * 40} 1 1 {lines}"] + ([] if known else [f"author {name}", f"author-mail <{name}@x>", "author-time 10", "author-tz +0100", "committer C", "committer-mail <c@x>", "committer-time 11", "committer-tz +0000"]) + ["filename f.py", "\tcode"]
+        return head + [x for i in range(1, lines) for x in (f"{letter * 40} {i} {i}", "\tcode")]
+
+    text = "\n".join(group("a", "ann", 3, False) + group("b", "bob", 1, False) + group("a", "ann", 2, True) + group("c", "ann", 1, False))
+    df = spark.createDataFrame([("s", text), ("n", None)], "source string, text string")
+    got = {tuple(r) for r in logs.fast_blame(df).collect()}
+    assert got == {("s", "ann {ann@x}", 6, 2), ("s", "bob {bob@x}", 1, 1)}
+
+
+def test_commits_of_many_files(spark, tmp_path):
+    for owner in ("o", "p", "q"):
+        (tmp_path / owner / "r").mkdir(parents=True)
+        (tmp_path / owner / "r" / "commit-stat.log.json").write_text(json.dumps([{"commit": f"c{owner}", "Author": "Ann", "Date": "2020-01-01T00:00:00+01:00", "fileTypes": {"py": {"inserts": 1}}}]))
+    rows = logs.commit_files(spark, str(tmp_path), "commit-stat.log.json").collect()
+    assert {(r["commit"], r["seen_in"][0]) for r in rows} == {(f"c{o}", f"{o}/r") for o in "opq"}
+    assert {r["utc_datetime"] for r in rows} == {t(2019, 12, 31, 23)} and rows[0]["fileTypes"]["py"]["inserts"] == 1
+    parts = [[r["commit"] for r in logs.commit_files(spark, str(tmp_path), "commit-stat.log.json", i, 2).collect()] for i in (0, 2)]
+    assert [len(p) for p in parts] == [2, 1] and len({c for p in parts for c in p}) == 3
+
+
+def test_catalog_views(spark):
+    spark.range(3).write.mode("overwrite").saveAsTable("default.strataloom_three")
+    assert tables.catalog_view(spark, "default", "strataloom_three", "three").count() == spark.table("three").count() == 3
+    spark.sql("drop table default.strataloom_three")
+
+
+def test_relational_tables(spark):
+    url, driver = "jdbc:derby:memory:strataloom;create=true", "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+    df = spark.range(250).select("id", F.concat(F.lit("n"), F.col("id")).alias("name"))
+    tables.jdbc_insert(df, url, "people", driver=driver)
+    rows = tables.jdbc_table(spark, url, "people", "id", 50, 200, 4, driver=driver)
+    assert rows.count() == 250 and rows.rdd.getNumPartitions() == 4 and rows.agg(F.sum("id")).first()[0] == sum(range(250))

@@ -50,9 +50,15 @@ def degrees(edges: DataFrame) -> DataFrame:
 
 
 def density(edges: DataFrame) -> DataFrame:
-    """Nodes, edges and the share of possible edges that exist."""
+    """Nodes, edges and the share of possible edges that exist.
+
+    Where no edge is possible the share is what SQL's floating-point division by zero gives: NaN of a network without
+    edges, infinite of one node that is joined to itself. Spark's own division would end the query there.
+    """
     nodes = degrees(edges).agg(F.count("*").alias("n_nodes"), (F.coalesce(F.sum("degree"), F.lit(0)) / 2).cast("bigint").alias("n_edges"))
-    return nodes.select("n_nodes", "n_edges", F.round(2 * F.col("n_edges") / (F.col("n_nodes") * (F.col("n_nodes") - 1)), 6).alias("density"))
+    possible = F.col("n_nodes") * (F.col("n_nodes") - 1)
+    share = F.when(possible != 0, 2 * F.col("n_edges") / possible).otherwise(F.when(F.col("n_edges") > 0, F.lit(float("inf"))).otherwise(F.lit(float("nan"))))
+    return nodes.select("n_nodes", "n_edges", F.round(share, 6).alias("density"))
 
 
 def degree_centrality(edges: DataFrame) -> DataFrame:

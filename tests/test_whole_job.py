@@ -44,3 +44,20 @@ def test_imports_of_every_language(spark, tmp_path):
     spark.createDataFrame([(i, source) for i, (source, _) in enumerate(SOURCES.values())], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
     got = {(r["language"], r["dependency"]) for r in reference.import_scan_all(spark, str(tmp_path)).collect()}
     assert {(language, name) for language, (_, names) in SOURCES.items() for name in names} <= got
+
+
+@pytest.mark.parametrize("shared", [0, 1, 2])
+def test_density_of_networks_without_edges(spark, tmp_path, shared):
+    # two users share so many bounties, so that the networks of a greater weight are empty
+    rows = [(n, user, "R", "F") for n in range(shared) for user in (1, 2)] + [(10, 1, "A", "O"), (11, 2, "A", "O")]
+    spark.createDataFrame(rows, "l_orderkey long, l_partkey long, l_returnflag string, l_linestatus string").write.parquet(str(tmp_path / "lineitem.parquet"))
+    db = duckdb.connect()
+    db.execute(f"create view lineitem as select * from read_parquet('{tmp_path}/lineitem.parquet/*.parquet')")
+    for name in ("density_by_weight", "graph_density"):
+        got = sorted(str(tuple(r)) for r in reference.QUERIES[name](spark, str(tmp_path)).collect())
+        assert got == sorted(map(str, db.execute(reference.ORACLES[name]).fetchall()))
+
+
+def test_density_of_one_node(spark):
+    edges = spark.createDataFrame([(1, 1, 2)], "left_id long, right_id long, weight long")
+    assert tuple(reference.graph.density(edges).first()) == (1, 1, float("inf"))

@@ -195,8 +195,9 @@ def _close_rows(group: pd.DataFrame, reach: float, scale: int):
             yield rows[i], rows[j], relative_distance(own[i], own[j])
 
 
-def core_distances(points: DataFrame, reach: float, neighbours: int, scale: int = 1000) -> DataFrame:
-    """point, core: distance to the ``neighbours``-th nearest record (its own equals count), 1.0 if out of reach."""
+def core_distances(points: DataFrame, reach: float, neighbours: int, scale: int = 1000, cells: DataFrame | None = None) -> DataFrame:
+    """point, core: distance to the ``neighbours``-th nearest record (its own equals count), 1.0 if out of reach.
+    ``cells`` as of _cells, if they are there already."""
 
     def nearest(group: pd.DataFrame) -> pd.DataFrame:
         best = np.full((len(group), neighbours), np.inf)
@@ -212,20 +213,20 @@ def core_distances(points: DataFrame, reach: float, neighbours: int, scale: int
         rows, cols = np.nonzero(np.isfinite(best))
         return pd.DataFrame({"point": group["point"].to_numpy()[rows], "near": best[rows, cols]})
 
-    near = _cells(points, reach).groupBy("part").applyInPandas(nearest, "point bigint, near double")
+    near = (_cells(points, reach) if cells is None else cells).groupBy("part").applyInPandas(nearest, "point bigint, near double")
     ranked = near.withColumn("k", F.row_number().over(Window.partitionBy("point").orderBy("near"))).where(F.col("k") <= neighbours)
     packed = ranked.groupBy("point").agg(F.sort_array(F.collect_list("near")).alias("nears"))
     missing = F.lit(neighbours) - F.col("copies")
     return points.join(packed, "point", "left").select("point", F.when(missing <= 0, 0.0).otherwise(F.coalesce(F.try_element_at("nears", missing.cast("int")), F.lit(1.0))).alias("core"))
 
 
-def reach_edges(points: DataFrame, reach: float, core: DataFrame | None = None, scale: int = 1000) -> DataFrame:
+def reach_edges(points: DataFrame, reach: float, core: DataFrame | None = None, scale: int = 1000, cells: DataFrame | None = None) -> DataFrame:
     """Edges (left, right, weight) of the cells' minimum spanning forests of the mutual-reachability graph.
 
     The weight is the distance, or the larger of it and both ends' core distances; edges heavier than ``reach`` are none.
     An edge that a cell's forest leaves out closes a circle in which it is the heaviest, so no spanning forest needs it.
     """
-    rows = _cells(points, reach)
+    rows = _cells(points, reach) if cells is None else cells
     rows = rows.join(core, "point") if core is not None else rows.withColumn("core", F.lit(0.0))
 
     def forest(group: pd.DataFrame) -> pd.DataFrame:
@@ -302,21 +303,9 @@ def _points(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
 def reachability_forest(points: DataFrame, reach: float, neighbours: int) -> tuple[DataFrame, DataFrame]:
     """Minimum spanning forest and components of the mutual-reachability graph. With one neighbour every record is its own
     nearest, core distances are 0 and the graph is that of the plain distances."""
-    core = checkpointed(core_distances(points, reach, neighbours)) if neighbours > 1 else None
-    return boruvka(reach_edges(points, reach, core))
-
-
-def chained_groups(vectors: DataFrame, reach: float = 0.1, least: int = 3) -> DataFrame:
-    """Groups of records linked by chains of likeness, at least ``least`` records each: head_id (the smallest), member_id.
-
-    This is the cut at ``reach`` of the hierarchy with one neighbour: the components of its spanning forest. One row for
-    each record but the head. ``vectors`` as from ``count_vectors``; repeated rows count once; no rows give no rows.
-    """
-    members, points = _points(vectors)
-    _, labels = reachability_forest(points, reach, 1)
-    placed = checkpointed(members.join(labels, members["point"] == labels["node"], "left").select("rec_id", F.coalesce("root", "point").alias("root")).distinct())
-    heads = placed.groupBy("root").agg(F.min("rec_id").alias("head_id"), F.count("*").alias("n")).where(F.col("n") >= least)
-    return salted_join(placed, heads, "root", "inner").where("rec_id <> head_id").select("head_id", F.col("rec_id").alias("member_id")).distinct()
+    cells = _cells(points, reach)
+    core = checkpointed(core_distances(points, reach, neighbours, cells=cells)) if neighbours > 1 else None
+    return boruvka(reach_edges(points, reach, core, cells=cells))
 
 
 class Condenser:
@@ -325,11 +314,12 @@ class Condenser:
     A node is (id, records, cluster, gained, within): the cluster that it is the whole of, or None; the sum of its records'
     1/(distance + floor) at which they joined; the best stability of what lies within it. ``joins`` has (node, cluster,
     distance) of the nodes that join a cluster, ``born`` the distance at which each cluster forms, ``clusters`` (cluster,
-    parent or None, stability, takes) of those that have ended, children before parents.
+    parent or None, stability, takes) of those that have ended, children before parents. A cluster that forms below
+    ``unsplit`` takes its records whatever the stabilities are.
     """
 
-    def __init__(self, nodes, least: int, floor: float):
-        self.least, self.floor = least, floor
+    def __init__(self, nodes, least: int, floor: float, unsplit: float = 0.0):
+        self.least, self.floor, self.unsplit = least, floor, unsplit
         self.up: dict = {}
         self.state: dict = {}
         self.joins: list = []
@@ -358,7 +348,8 @@ class Condenser:
     def end(self, state: list, parent: str | None, distance: float) -> float:
         n, cluster, gained, within, _ = state
         stability = gained - n * self.value(distance)
-        self.clusters.append((cluster, parent, stability, stability >= within))
+        # a cluster of an earlier band has no birth here; _by_bands looks it up
+        self.clusters.append((cluster, parent, stability, stability >= within or self.born.get(cluster, math.inf) < self.unsplit))
         return max(stability, within)
 
     def merge(self, left, right, distance: float) -> None:
@@ -390,7 +381,7 @@ _NODE = "node bigint, n bigint, cluster string, gained double, within double"
 _EVENT = "kind string, node bigint, cluster string, parent string, distance double, stability double, takes boolean, n bigint, gained double, within double"
 
 
-def _condensed(nodes: DataFrame, edges: DataFrame, least: int, floor: float, last: float | None) -> DataFrame:
+def _condensed(nodes: DataFrame, edges: DataFrame, least: int, floor: float, last: float | None, unsplit: float = 0.0) -> DataFrame:
     """Events of the hierarchies of components: nodes (component, and _NODE), edges (component, left, right, weight).
 
     With ``last``, the distance at which open clusters end: ``member`` (node, chosen cluster, distance) and ``cluster``
@@ -406,7 +397,7 @@ def _condensed(nodes: DataFrame, edges: DataFrame, least: int, floor: float, las
 
     def of_component(component: int, points: pd.DataFrame, links: pd.DataFrame) -> list[dict]:
         state = zip(points["left"].tolist(), points["n"].tolist(), [c if isinstance(c, str) else None for c in points["cluster"]], points["gained"].tolist(), points["within"].tolist())
-        tree = Condenser(state, least, floor)
+        tree = Condenser(state, least, floor, unsplit)
         for left, right, weight in zip(links["left"].tolist(), links["right"].tolist(), links["weight"].tolist()):
             tree.merge(left, right, weight)
         if last is None:
@@ -423,9 +414,12 @@ def _condensed(nodes: DataFrame, edges: DataFrame, least: int, floor: float, las
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         out: list[dict] = []
+        if last is not None:
+            # fewer records than a cluster has never form one
+            group = group[group.groupby("component")["n"].transform("sum") >= least]
         group = group.sort_values(["component", "weight", "left", "right"], na_position="first")
         changes = np.nonzero(np.diff(group["component"].to_numpy()))[0] + 1
-        for own in np.split(np.arange(len(group)), changes):
+        for own in np.split(np.arange(len(group)), changes) if len(group) else []:
             rows = group.iloc[own]
             edge = rows["weight"].notna().to_numpy()
             out += of_component(int(rows["component"].iloc[0]), rows[~edge], rows[edge])
@@ -436,7 +430,7 @@ def _condensed(nodes: DataFrame, edges: DataFrame, least: int, floor: float, las
     return rows.groupBy("part").applyInPandas(run, _EVENT)
 
 
-def _by_bands(nodes: DataFrame, edges: DataFrame, least: int, floor: float, reach: float, task_edges: int) -> DataFrame:
+def _by_bands(nodes: DataFrame, edges: DataFrame, least: int, floor: float, reach: float, task_edges: int, unsplit: float = 0.0) -> DataFrame:
     """``member`` and ``cluster`` rows as of _condensed, of components too large for a task.
 
     Their edges are cut at quantiles of the weight into bands of about ``task_edges``; a band's edges join what the bands
@@ -457,7 +451,7 @@ def _by_bands(nodes: DataFrame, edges: DataFrame, least: int, floor: float, reac
         _, labels = boruvka(band)
         labels = labels.select("node", F.col("root").alias("component"))
         inside = band.join(labels.withColumnRenamed("node", "left"), "left").select("component", "left", "right", "weight")
-        events = checkpointed(_condensed(state.join(labels, "node"), inside, least, floor, None))
+        events = checkpointed(_condensed(state.join(labels, "node"), inside, least, floor, None, unsplit))
         parts = [
             events.where("kind = 'join'").join(place, "node").select("point", "cluster", "distance"),
             events.where("kind = 'ended'").select("cluster", "parent", "stability", "takes"),
@@ -471,26 +465,26 @@ def _by_bands(nodes: DataFrame, edges: DataFrame, least: int, floor: float, reac
         live = checkpointed(live.select("left", "right", "weight"))
     own = F.col("gained") - F.col("n") / (reach + floor)
     top = ended.unionByName(state.where("cluster is not null").select("cluster", F.lit(None).cast("string").alias("parent"), own.alias("stability"), (own >= F.col("within")).alias("takes")))
+    top = top.join(born, "cluster").withColumn("takes", F.col("takes") | (F.col("born") < unsplit))
     jumped = checkpointed(top.select("cluster", F.col("parent").alias("up"), F.when(F.col("takes"), F.col("cluster")).alias("chosen")))
     while not jumped.where("up is not null").isEmpty():
         above = jumped.select(F.col("cluster").alias("up"), F.col("up").alias("further"), F.col("chosen").alias("higher"))
         jumped = checkpointed(jumped.join(above, "up", "left").select("cluster", F.col("further").alias("up"), F.coalesce("higher", "chosen").alias("chosen")))
     chosen = jumped.where("chosen is not null").select("cluster", "chosen")
     member = joins.join(chosen, "cluster").select(F.lit("member").alias("kind"), F.col("point").alias("node"), F.col("chosen").alias("cluster"), "distance", F.lit(None).cast("double").alias("stability"))
-    cluster = top.join(chosen.where("cluster = chosen"), "cluster").join(born, "cluster").select(F.lit("cluster").alias("kind"), F.lit(None).cast("bigint").alias("node"), "cluster", F.col("born").alias("distance"), "stability")
+    cluster = top.join(chosen.where("cluster = chosen"), "cluster").select(F.lit("cluster").alias("kind"), F.lit(None).cast("bigint").alias("node"), "cluster", F.col("born").alias("distance"), "stability")
     return member.unionByName(cluster)
 
 
-def density_clusters(vectors: DataFrame, reach: float = 0.1, least: int = 3, neighbours: int = 2, exemplars: int = 3, floor: float = 0.02, task_edges: int = TASK_EDGES) -> DataFrame:
-    """Stable density clusters: cluster_id (smallest record), n_members, born (the distance it forms at), stability and
-    the ids of its most persistent members.
+def _selected(vectors: DataFrame, reach: float, least: int, neighbours: int, floor: float, task_edges: int, unsplit: float = 0.0) -> tuple[DataFrame, DataFrame]:
+    """The records of the selected clusters of the condensed hierarchy, rec_id, cluster, joins (the distance at which a
+    record is first in a cluster), and the clusters, cluster, born, stability.
 
-    The hierarchy is that of the spanning forest's own weights. A cluster has at least ``least`` records; two such that
-    meet end there, and fewer records that meet one join it. A cluster's stability adds up 1/(distance + ``floor``) of each
-    record's joining less that of the cluster's end, ``reach`` at most; going up, a cluster replaces the clusters within it
-    if it is at least as stable as they are together. The records that were in some cluster at the smallest distance are
-    the most persistent ones, ties by id. Records outside every selected cluster are noise and give no row. Repeated rows
-    count once; no rows give no rows. Components of more than ``task_edges`` edges are built in bands of distances.
+    A cluster has at least ``least`` records; two such that meet end there, and fewer records that meet one join it. A
+    cluster's stability adds up 1/(distance + ``floor``) of each record's joining less that of the cluster's end, ``reach``
+    at most; going up, a cluster replaces the clusters within it if it is at least as stable as they are together, or if it
+    forms below ``unsplit``. Repeated rows count once. Components of more than ``task_edges`` edges are built in bands of
+    distances.
     """
     members, points = _points(vectors.distinct())
     forest, labels = reachability_forest(points, reach, neighbours)
@@ -500,14 +494,40 @@ def density_clusters(vectors: DataFrame, reach: float = 0.1, least: int = 3, nei
     nodes = checkpointed(points.select(F.col("point").alias("node"), F.col("copies").alias("n"), *state).join(labels.withColumnRenamed("root", "component"), "node", "left").withColumn("component", F.coalesce("component", "node")))
     large = checkpointed(forest.groupBy("component").count().where(F.col("count") > task_edges).select("component"))
     wanted = ["kind", "node", "cluster", "distance", "stability"]
-    events = _condensed(nodes.join(large, "component", "left_anti"), forest.join(large, "component", "left_anti"), least, floor, reach).select(*wanted)
+    events = _condensed(nodes.join(large, "component", "left_anti"), forest.join(large, "component", "left_anti"), least, floor, reach, unsplit).select(*wanted)
     if not large.isEmpty():
-        events = events.unionByName(_by_bands(nodes.join(large, "component", "left_semi"), forest.join(large, "component", "left_semi"), least, floor, reach, task_edges).select(*wanted))
+        events = events.unionByName(_by_bands(nodes.join(large, "component", "left_semi"), forest.join(large, "component", "left_semi"), least, floor, reach, task_edges, unsplit).select(*wanted))
     events = checkpointed(events)
     placed = events.where("kind = 'member'").select(F.col("node").alias("point"), "cluster", F.col("distance").alias("joins"))
     rows = checkpointed(members.distinct().join(placed, "point").select("rec_id", "cluster", "joins"))
+    return rows, events.where("kind = 'cluster'").select("cluster", F.col("distance").alias("born"), "stability")
+
+
+def chained_groups(vectors: DataFrame, reach: float = 0.1, least: int = 3, neighbours: int = 2, floor: float = 0.02, task_edges: int = TASK_EDGES) -> DataFrame:
+    """Groups of records linked by chains of likeness, at least ``least`` records each: head_id (the smallest), member_id.
+
+    These are the clusters of the condensed hierarchy of which none that forms within ``reach`` is split: the outermost
+    ones take the records whatever the stabilities within them are. With two neighbours a record's core distance is that
+    to its nearest other one and never above the distance of a pair that it is in, so that mutual reachability leaves the
+    chains as they are; with more, the thin ends of chains are noise. One row for each record but the head. ``vectors``
+    as from ``count_vectors``; an id with several vectors counts once in a group; no rows give no rows.
+    """
+    rows, _ = _selected(vectors, reach, least, neighbours, floor, task_edges, math.inf)
+    rows = rows.select("rec_id", "cluster").distinct()
+    heads = rows.groupBy("cluster").agg(F.min("rec_id").alias("head_id"), F.count("*").alias("n")).where(F.col("n") >= least)
+    return salted_join(rows, heads, "cluster", "inner").where("rec_id <> head_id").select("head_id", F.col("rec_id").alias("member_id")).distinct()
+
+
+def density_clusters(vectors: DataFrame, reach: float = 0.1, least: int = 3, neighbours: int = 2, exemplars: int = 3, floor: float = 0.02, task_edges: int = TASK_EDGES) -> DataFrame:
+    """Stable density clusters: cluster_id (smallest record), n_members, born (the distance it forms at), stability and
+    the ids of its most persistent members.
+
+    The hierarchy is that of the spanning forest's own weights, the selection that of _selected. The records that were in
+    some cluster at the smallest distance are the most persistent ones, ties by id. Records outside every selected cluster
+    are noise and give no row. Repeated rows count once; no rows give no rows.
+    """
+    rows, own = _selected(vectors, reach, least, neighbours, floor, task_edges)
     by = Window.partitionBy("cluster").orderBy("joins", "rec_id")
     typical = rows.withColumn("k", F.row_number().over(by)).where(F.col("k") <= exemplars).groupBy("cluster").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "rec_id"))), lambda x: x["rec_id"]).alias("exemplars"))
     stats = rows.groupBy("cluster").agg(F.min("rec_id").alias("cluster_id"), F.count("*").alias("n_members"))
-    own = events.where("kind = 'cluster'").select("cluster", F.col("distance").alias("born"), "stability")
     return stats.join(own, "cluster").join(typical, "cluster").select("cluster_id", "n_members", F.round("born", 6).alias("born"), F.round("stability", 6).alias("stability"), "exemplars")

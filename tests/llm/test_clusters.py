@@ -157,3 +157,41 @@ def test_dense_cells_are_cut_into_blocks(spark, monkeypatch):
     monkeypatch.setattr(clusters, "CELL_POINTS", 60)
     assert {tuple(r) for r in chained_groups(df).collect()} == want
     assert {r["point"]: r["core"] for r in core_distances(points, 0.1, 3).collect()} == core
+
+
+def reachable(vectors, neighbours, least=3):
+    """Members of the components of the mutual-reachability graph by their heads."""
+    import numpy as np
+
+    d = np.array([[max(abs(x - y) / max(x, y, 1) for x, y in zip(a, b)) for b in vectors] for a in vectors])
+    core = np.sort(d, axis=1)[:, neighbours - 1]
+    near = np.maximum(d, np.maximum.outer(core, core)) <= 0.1
+    head = np.arange(len(vectors))
+    while ((lower := np.where(near, head, len(vectors)).min(axis=1).clip(max=head)) != head).any():
+        head = lower
+    return {(int(h), i) for i, h in enumerate(head) if h != i and (head == h).sum() >= least}
+
+
+def test_groups_come_from_the_condensed_hierarchy(spark, monkeypatch):
+    from strataloom.llm import clusters
+
+    random.seed(5)
+    # dense places that chains link, and a chain with thin ends
+    vectors = [[int(c * random.uniform(0.98, 1.02)), 700, 40] for c in (1000, 1075, 1150) for _ in range(8)] + [[3000 + 250 * i, 700, 40] for i in range(4)]
+    df = spark.createDataFrame([(i, "t", v) for i, v in enumerate(vectors)], "rec_id long, types string, vec array<long>")
+    seen = []
+    for step in ("core_distances", "_condensed"):
+        monkeypatch.setattr(clusters, step, lambda *a, step=step, f=getattr(clusters, step), **k: seen.append(step) or f(*a, **k))
+    want = chained([("t", v) for v in vectors])
+    assert len({h for h, _ in want}) < len(clusters.density_clusters(df).collect())
+    seen.clear()
+    assert {tuple(r) for r in clusters.chained_groups(df).collect()} == want == reachable(vectors, 2)
+    assert seen == ["core_distances", "_condensed"]
+    assert {tuple(r) for r in clusters.chained_groups(df, task_edges=12).collect()} == want
+    assert {tuple(r) for r in clusters.chained_groups(df, neighbours=3).collect()} == reachable(vectors, 3) != want
+
+
+def test_an_id_with_several_vectors_counts_once(spark):
+    rows = [(1, [100]), (1, [101]), (2, [102]), (3, [500]), (4, [501]), (5, [502]), (5, [500])]
+    df = spark.createDataFrame([(i, "t", v) for i, v in rows], "rec_id long, types string, vec array<long>")
+    assert {tuple(r) for r in chained_groups(df).collect()} == {(3, 4), (3, 5)}
